@@ -446,7 +446,8 @@ def gap_zones_any(spark, d):
 
 @query
 def gap_fill_status(spark, d):
-    return plain(G.gap_fill_status(B.candles(tape_view(spark, d), 1800), 1800))
+    bars = writers.stored(B.candles(tape_view(spark, d), 1800), "candles")
+    return plain(G.gap_fill_status(bars, 1800))
 
 
 @query

@@ -52,13 +52,16 @@ def ns_from_local(ntz: Column, tz: str) -> Column:
 
 
 def parse_utc_ns(text: Column) -> Column:
-    """Epoch ns of a strict UTC text; anything else is null."""
-    day = F.regexp_extract(text, UTC_TEXT, 1)
-    clock = F.regexp_extract(text, UTC_TEXT, 2)
-    fraction = F.rpad(F.regexp_extract(text, UTC_TEXT, 3), 9, "0")
-    seconds = ntz_seconds(F.concat(day, F.lit(" "), clock).try_cast("timestamp_ntz"))
-    in_range = seconds.between(-(2**63) // NS + 1, 2**63 // NS - 1) & (F.left(day, F.lit(4)) != "0000")
-    return F.when(text.rlike(UTC_TEXT) & in_range, seconds * NS + fraction.cast("bigint"))
+    """Epoch ns of a strict UTC text; anything else is null.
+
+    The pattern is matched once; the parts then sit at fixed places. The zone is in the text that
+    is cast, so the session time zone plays no part.
+    """
+    seconds = F.unix_seconds(F.concat(F.left(text, F.lit(19)), F.lit("Z")).try_cast("timestamp"))
+    fraction = F.rpad(F.rtrim(F.substring(text, 21, 9), F.lit("Z")), 9, "0").try_cast("bigint")
+    # Outside these seconds a BIGINT of nanoseconds would overflow.
+    kept = F.when(seconds.between(-(2**63) // NS + 1, 2**63 // NS - 1), seconds)
+    return F.when(text.rlike(UTC_TEXT), kept * NS + fraction)
 
 
 def epoch_ns(df: DataFrame, name: str) -> Column:

@@ -11,10 +11,9 @@ from tickloom.functions.clock import local_ntz, ns_from_local, seconds_of_day
 
 def trading_date(ns: Column, cfg: TapeConfig) -> Column:
     """Local date, moved to the next day from the session start on; '' for a null time."""
-    local = local_ntz(ns, cfg.exchange_timezone)
-    late = seconds_of_day(local) >= clock_seconds(cfg.session_start)
-    day = F.when(late, F.date_add(local.cast("date"), 1)).otherwise(local.cast("date"))
-    return F.coalesce(day.cast("string"), F.lit(""))
+    to_midnight = 86_400 - clock_seconds(cfg.session_start)
+    shifted = local_ntz(ns, cfg.exchange_timezone) + F.expr(f"interval '{to_midnight}' second")
+    return F.coalesce(shifted.cast("date").cast("string"), F.lit(""))
 
 
 def session_id(date_text: Column, cfg: TapeConfig) -> Column:

@@ -36,7 +36,7 @@ def audit_cells(flags: DataFrame, cfg: TapeConfig) -> DataFrame:
     nulls = [
         F.count_if(F.col(parsed.get(c, c)).isNull()).alias(f"null_{c}") for c in S.MBO_SCANNED
     ]
-    broken = [F.count_if(F.array_contains("reasons", r)).alias(r) for r in REASONS]
+    broken = [F.count_if(F.col(r)).alias(r) for r in REASONS]
     trade = lambda c: F.when(valid, c)
     return keyed.groupBy(*_CELL).agg(
         F.count(F.lit(1)).alias("rows"),

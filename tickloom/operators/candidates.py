@@ -15,6 +15,7 @@ from tickloom.operators.gaps import gap_zones
 from tickloom.operators.indicators import (
     atr,
     bar_number,
+    bar_window,
     effort_ratios,
     macd,
     rsi,
@@ -137,10 +138,13 @@ def atr_reason(mult: Decimal) -> str:
 def indicator_candidates(bars: DataFrame, cfg: IndicatorSetupConfig) -> DataFrame:
     """Setups in the direction of RSI and MACD with a stop some ATRs away."""
     n, tick = cfg.atr_window, cfg.tick_size
-    rated = with_entry_bar(
-        atr(macd(rsi(bars, cfg.rsi_period), cfg.macd_fast, cfg.macd_slow, cfg.macd_signal), n),
+    based = with_entry_bar(
+        bars.withColumns(
+            {"bar_no": bar_number(bars), "close_before": F.lag(dec(F.col("close"))).over(bar_window(bars))}
+        ),
         cfg.bar_seconds,
-    ).withColumn("bar_no", bar_number(bars))
+    )
+    rated = macd(atr(rsi(based, cfg.rsi_period), n), cfg.macd_fast, cfg.macd_slow, cfg.macd_signal)
     line, trigger = F.round("macd", 9), F.round("macd_signal", 9)
     sided = rated.withColumn("side", indicator_side(F.round("rsi", 9), line, trigger)).filter(
         (F.col("bar_no") >= cfg.warmup)

@@ -79,6 +79,7 @@ def gap_fill_status(bars: DataFrame, seconds: int) -> DataFrame:
 
     The search climbs and descends a tree of 64-bar nodes: at each level a zone meets one node
     through an equi-join, so work grows with zones times tree height, never zones times bars.
+    The bars are read several times; pass stored ones.
     """
     w = Window.partitionBy("symbol").orderBy("bar_start_ns")
     numbered = bars.select(

@@ -74,16 +74,24 @@ def effort_ratios(
     ).drop("_nr", "_nv", "_lr", "_lv")
 
 
+def _with_number(df: DataFrame) -> DataFrame:
+    return df if "bar_no" in df.columns else df.withColumn("bar_no", bar_number(df))
+
+
+def _close_before(df: DataFrame) -> DataFrame:
+    before = F.lag(dec(F.col("close"))).over(bar_window(df))
+    return df if "close_before" in df.columns else df.withColumn("close_before", before)
+
+
 def rsi(bars: DataFrame, period: int = 14) -> DataFrame:
     """RSI with simple averages of the last ``period`` changes; null until there are enough."""
-    w = bar_window(bars)
-    frame = w.rowsBetween(-(period - 1), 0)
-    change = dec(F.col("close")) - F.lag(dec(F.col("close"))).over(w)
-    out = bars.withColumn("_change", change).withColumns(
+    frame = bar_window(bars).rowsBetween(-(period - 1), 0)
+    change = dec(F.col("close")) - F.col("close_before")
+    sums = _close_before(bars).withColumns(
         {
-            "_gain": F.sum(F.greatest(F.col("_change"), F.lit(0))).over(frame).cast("double"),
-            "_loss": F.sum(F.greatest(-F.col("_change"), F.lit(0))).over(frame).cast("double"),
-            "_n": F.count("_change").over(frame),
+            "_gain": F.sum(F.greatest(change, F.lit(0))).over(frame).cast("double"),
+            "_loss": F.sum(F.greatest(-change, F.lit(0))).over(frame).cast("double"),
+            "_n": F.count(change).over(frame),
         }
     )
     value = (
@@ -92,44 +100,71 @@ def rsi(bars: DataFrame, period: int = 14) -> DataFrame:
         .when(F.col("_loss") == 0, F.lit(50.0))
         .otherwise(100.0 - 100.0 / (1.0 + F.col("_gain") / F.col("_loss")))
     )
-    return out.withColumn("rsi", value).drop("_change", "_gain", "_loss", "_n")
+    return sums.withColumn("rsi", value).drop("_gain", "_loss", "_n")
 
 
-def ema(df: DataFrame, col: str, period: int, out: str) -> DataFrame:
-    """Exponential average seeded with the first value, alpha = 2 / (period + 1).
+def emas(df: DataFrame, wanted: dict[str, tuple[str, int]]) -> DataFrame:
+    """Exponential averages ``{out: (column, period)}``, alpha = 2 / (period + 1), each seeded with
+    the first value.
 
     The recurrence is cut into blocks of rows. Inside a block it is a weighted running sum; the
     block before contributes its own last value times r^k, and anything older is below r^block,
-    which the block length puts under 1e-18 - less than a double can hold.
+    which the block length puts under 1e-18 - less than a double can hold. All averages share the
+    block of the slowest one.
     """
-    if period == 1:
-        return df.withColumn(out, F.col(col).cast("double"))
-    alpha, r = 2.0 / (period + 1), (period - 1.0) / (period + 1.0)
-    block = math.ceil(18 * math.log(10) / -math.log(r))
+    numbered = _with_number(df)
+    direct = {out: F.col(c).cast("double") for out, (c, n) in wanted.items() if n == 1}
+    slow = {out: cn for out, cn in wanted.items() if cn[1] > 1}
+    if not slow:
+        return numbered.withColumns(direct)
+    r_of = {out: (n - 1.0) / (n + 1.0) for out, (_, n) in slow.items()}
+    block = math.ceil(18 * math.log(10) / -math.log(max(r_of.values())))
+    if block * -math.log(min(r_of.values())) > 600:
+        # Weights of the fastest one would leave the range of a double: take them apart.
+        first = min(slow, key=lambda out: slow[out][1])
+        rest = {out: cn for out, cn in wanted.items() if out != first}
+        return emas(emas(numbered, {first: wanted[first]}), rest)
     w = bar_window(df)
     tie = [F.col("session_id")] if "session_id" in df.columns else []
-    inside = Window.partitionBy("symbol", "_block").orderBy("bar_start_ns", *tie)
-    placed = df.withColumn("_no", bar_number(df)).withColumns(
-        {"_block": F.floor(F.col("_no") / block), "_k": (F.col("_no") % block).cast("double")}
+    inside = (
+        Window.partitionBy("symbol", "_block")
+        .orderBy("bar_start_ns", *tie)
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    weight = F.when(F.col("_no") == 0, F.lit(1.0)).otherwise(F.lit(alpha))
-    scaled = weight * F.col(col).cast("double") * F.pow(F.lit(1.0 / r), F.col("_k"))
-    local = F.sum(scaled).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    carried = placed.withColumn("_local", local * F.pow(F.lit(r), F.col("_k"))).withColumn(
-        "_carry",
-        F.last(F.when(F.col("_k") == block - 1, F.col("_local")), ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, -1)
-        ),
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    k = F.col("_k")
+    local, carry, total = {}, {}, {}
+    for out, (col, n) in slow.items():
+        r = r_of[out]
+        weight = F.when(F.col("bar_no") == 0, F.lit(1.0)).otherwise(F.lit(2.0 / (n + 1)))
+        scaled = weight * F.col(col).cast("double") * F.pow(F.lit(1.0 / r), k)
+        local[f"_l_{out}"] = F.sum(scaled).over(inside) * F.pow(F.lit(r), k)
+        ends = F.when(k == block - 1, F.col(f"_l_{out}"))
+        carry[f"_c_{out}"] = F.last(ends, ignorenulls=True).over(before)
+        tail = F.coalesce(F.col(f"_c_{out}") * F.pow(F.lit(r), k + 1), F.lit(0.0))
+        total[out] = F.col(f"_l_{out}") + tail
+    placed = numbered.withColumns(
+        {
+            "_block": F.floor(F.col("bar_no") / block),
+            "_k": (F.col("bar_no") % block).cast("double"),
+        }
     )
-    tail = F.coalesce(F.col("_carry") * F.pow(F.lit(r), F.col("_k") + 1), F.lit(0.0))
-    return carried.withColumn(out, F.col("_local") + tail).drop(
-        "_no", "_block", "_k", "_local", "_carry"
+    return (
+        placed.withColumns(local)
+        .withColumns(carry)
+        .withColumns({**total, **direct})
+        .drop("_block", "_k", *local, *carry)
     )
 
 
+def ema(df: DataFrame, col: str, period: int, out: str) -> DataFrame:
+    """One exponential average; see ``emas``."""
+    return emas(df, {out: (col, period)})
+
+
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
     """Fast minus slow average of the close (``macd``) and its own average (``macd_signal``)."""
-    out = ema(ema(bars, "close", fast, "_fast"), "close", slow, "_slow")
+    out = emas(bars, {"_fast": ("close", fast), "_slow": ("close", slow)})
     out = out.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
     return ema(out, "macd", signal, "macd_signal")
 
@@ -137,24 +172,15 @@ def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> Da
 def atr(bars: DataFrame, period: int = 14) -> DataFrame:
     """Mean true range of the last ``period`` bars; null early on or when one of them is not
     positive. The exact sum stays in ``true_range_sum``."""
-    w = bar_window(bars)
-    frame = w.rowsBetween(-(period - 1), 0)
-    before = F.lag(dec(F.col("close"))).over(w)
-    high, low = dec(F.col("high")), dec(F.col("low"))
-    out = bars.withColumn("_before", before).withColumns(
-        {
-            "true_range": F.greatest(
-                high - low, F.abs(high - F.col("_before")), F.abs(low - F.col("_before"))
-            ),
-            "_no": bar_number(bars),
-        }
+    frame = bar_window(bars).rowsBetween(-(period - 1), 0)
+    high, low, before = dec(F.col("high")), dec(F.col("low")), F.col("close_before")
+    out = _with_number(_close_before(bars)).withColumn(
+        "true_range", F.greatest(high - low, F.abs(high - before), F.abs(low - before))
     )
-    usable = (F.col("_no") >= period) & (F.min("true_range").over(frame) > 0)
+    usable = (F.col("bar_no") >= period) & (F.min("true_range").over(frame) > 0)
     total = F.sum("true_range").over(frame)
-    return (
-        out.withColumn("true_range_sum", F.when(usable, total))
-        .withColumn("atr", F.col("true_range_sum").cast("double") / period)
-        .drop("_before", "_no")
+    return out.withColumn("true_range_sum", F.when(usable, total)).withColumn(
+        "atr", F.col("true_range_sum").cast("double") / period
     )
 
 

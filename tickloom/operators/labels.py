@@ -78,8 +78,8 @@ def barrier_events(
 
     1. Trades are aggregated to short buckets (price range, count, last price). Each task scans
        the buckets strictly inside its window for the first one whose range touches a barrier.
-    2. Only the trades of that bucket and of the two buckets at the window's edges are joined,
-       through an equi-join on (symbol, session, bucket).
+    2. Only the trades of that bucket, of the last one with trades and of the two at the window's
+       edges are joined, through an equi-join on (symbol, session, bucket).
 
     ``small_tasks`` says the caller has counted the tasks and they fit a broadcast; the tape is
     then not shuffled in pass 2. ``prefix_length`` says that session names are that many
@@ -101,20 +101,16 @@ def barrier_events(
         # Sessions (and dates) that no task asks for are dropped at the scan.
         trades = trades.join(F.broadcast(tasks.select(*join_on).distinct()), join_on, "left_semi")
 
-    offset = F.col("ts_event_ns") - F.col("bucket")
-    key = causal_key(offset, F.col("sequence"), F.col("source_row_number"), wide_keys)
     needed = [F.col(c) for c in ("price", "sequence", "source_row_number")]
     broken = needed[0].isNull() | needed[1].isNull() | needed[2].isNull()
     buckets = (
         trades.filter(F.col("ts_event_ns").isNotNull())
-        .select(*join_on, "bucket", "ts_event_ns", "price", key.alias("_key"), broken.alias("_broken"))
+        .select(*join_on, "bucket", "price", broken.alias("_broken"))
         .groupBy(*join_on, "bucket")
         .agg(
             F.min("price").alias("lo"),
             F.max("price").alias("hi"),
             F.when(F.count_if("_broken") == 0, F.count(F.lit(1))).alias("n"),
-            F.max_by("price", "_key").alias("bucket_last"),
-            F.max("ts_event_ns").alias("bucket_last_ns"),
         )
     )
     spanned = tasks.withColumns(
@@ -122,71 +118,63 @@ def barrier_events(
             "first_bucket": bucket_start(F.col("start_ns"), bucket_seconds),
             "last_bucket": bucket_start(F.col("end_ns"), bucket_seconds),
         }
-    )
-    inner = (F.col("bucket") > F.col("first_bucket")) & (F.col("bucket") < F.col("last_bucket"))
-    touched = _hit(
-        F.col("entry_side"), F.col("lo"), F.col("hi"), F.col("stop_price"), F.col("target_price")
-    )
+    ).alias("t")
+    inside = (F.col("bucket") > F.col("first_bucket")) & (F.col("bucket") < F.col("last_bucket"))
+    same = [F.col(f"t.{c}") == F.col(f"b.{c}") for c in join_on]
+    stop, target, side = F.col("stop_price"), F.col("target_price"), F.col("entry_side")
+    touched = _hit(side, F.col("lo"), F.col("hi"), stop, target)
+    # A session has at most (session length / bucket) buckets, however many trades it holds.
     coarse = (
-        buckets.join(hint(spanned), join_on)
-        .filter(inner)
-        .groupBy(*keys)
+        spanned.join(buckets.alias("b"), [*same, inside], "left")
+        .groupBy(*(F.col(f"t.{c}").alias(c) for c in keys), "first_bucket", "last_bucket")
         .agg(
-            F.sum(guard_nulls(F.col("n"), F.col("n"))).alias("inner_n"),
+            F.sum(
+                F.when(F.col("bucket").isNotNull(), guard_nulls(F.col("n"), F.col("n")))
+            ).alias("inner_n"),
             F.min(F.when(touched, F.col("bucket"))).alias("hit_bucket"),
-            F.max("bucket").alias("inner_last_bucket"),
-            F.max_by("bucket_last", "bucket").alias("inner_last"),
-            F.max_by("bucket_last_ns", "bucket").alias("inner_last_ns"),
+            F.max("bucket").alias("inner_last"),
         )
     )
-    known = spanned.join(coarse, keys, "left")
     wanted = F.array_distinct(
-        F.array_compact(F.array("first_bucket", "last_bucket", "hit_bucket"))
+        F.array_compact(F.array("first_bucket", "last_bucket", "hit_bucket", "inner_last"))
     )
-    probes = known.select(
-        *keys, "first_bucket", "last_bucket", F.explode(wanted).alias("bucket")
+    probes = coarse.select(
+        *keys,
+        F.coalesce("inner_n", F.lit(0)).alias("inner_n"),
+        "first_bucket",
+        "last_bucket",
+        F.explode(wanted).alias("bucket"),
     )
-    span_offset = F.col("ts_event_ns") - F.col("start_ns")
-    exact_key = causal_key(
-        span_offset, F.col("sequence"), F.col("source_row_number"), wide_keys
+    order = causal_key(
+        F.col("ts_event_ns") - F.col("start_ns"),
+        F.col("sequence"),
+        F.col("source_row_number"),
+        wide_keys,
     )
-    hit = _hit(
-        F.col("entry_side"),
-        F.col("price"),
-        F.col("price"),
-        F.col("stop_price"),
-        F.col("target_price"),
-    )
-    edge = (F.col("bucket") == F.col("first_bucket")) | (F.col("bucket") == F.col("last_bucket"))
-    fine = (
+    edge = F.col("bucket").isin(F.col("first_bucket"), F.col("last_bucket"))
+    hit = _hit(side, F.col("price"), F.col("price"), stop, target)
+    return (
         trades.join(hint(probes), [*join_on, "bucket"])
         .filter(F.col("ts_event_ns").between(F.col("start_ns"), F.col("end_ns")))
         .select(
             *keys,
+            "inner_n",
             "ts_event_ns",
             guard_nulls(F.col("price"), *needed).alias("price"),
-            F.when(hit, exact_key).alias("_hit_key"),
-            F.when(edge, exact_key).alias("_edge_key"),
+            edge.alias("_edge"),
+            hit.alias("_hit"),
+            order.alias("_order"),
         )
+        .withColumn("_hit_order", F.when(F.col("_hit"), F.col("_order")))
         .groupBy(*keys)
         .agg(
-            F.count("_edge_key").alias("edge_n"),
-            F.min_by("price", "_hit_key").alias("hit_price"),
-            F.min_by("ts_event_ns", "_hit_key").alias("hit_ns"),
-            F.max_by("price", "_edge_key").alias("edge_last"),
-            F.max_by("ts_event_ns", "_edge_key").alias("edge_last_ns"),
+            (F.max("inner_n") + F.count_if("_edge")).alias("event_count"),
+            F.min_by("price", "_hit_order").alias("hit_price"),
+            F.min_by("ts_event_ns", "_hit_order").alias("hit_ns"),
+            F.max_by("price", "_order").alias("last_price"),
+            F.max_by("ts_event_ns", "_order").alias("last_ns"),
         )
-    )
-    inner_later = F.col("inner_last_ns").isNotNull() & (
-        F.col("edge_last_ns").isNull() | (F.col("inner_last_ns") > F.col("edge_last_ns"))
-    )
-    return known.join(fine, keys, "left").select(
-        *_TASK,
-        (F.coalesce("inner_n", F.lit(0)) + F.coalesce("edge_n", F.lit(0))).alias("event_count"),
-        "hit_ns",
-        "hit_price",
-        F.when(inner_later, F.col("inner_last_ns")).otherwise(F.col("edge_last_ns")).alias("last_ns"),
-        F.when(inner_later, F.col("inner_last")).otherwise(F.col("edge_last")).alias("last_price"),
+        .select(*_TASK, "event_count", "hit_ns", "hit_price", "last_ns", "last_price")
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +34,12 @@ def _true(condition):
 
 
 def quality_flags(df: DataFrame, cfg: TapeConfig) -> DataFrame:
-    """Raw rows with parsed times, ``reasons``, ``trade_scope`` and ``valid_trade``.
+    """Raw rows with parsed times, one flag per reason, ``reasons``, ``trade_scope`` and
+    ``valid_trade``.
 
     Stateless: one projection over the scan. Action, side, time and sequence are judged on every
-    row, the rest only on trades of the wanted symbols.
+    row, the rest only on trades of the wanted symbols. ``valid_trade`` reads the flags, not the
+    array, so it compiles into the scan stage; the array is built only where it is used.
     """
     symbol = F.col("symbol")
     wanted = _true(symbol.isin(*cfg.symbol_filters)) if cfg.symbol_filters else F.lit(True)
@@ -57,10 +62,10 @@ def quality_flags(df: DataFrame, cfg: TapeConfig) -> DataFrame:
         "invalid_symbol": scope & ~_true(symbol != ""),
         "invalid_tick_price": scope & ~on_tick(F.col("price"), cfg.tick_size),
     }
-    named = [F.when(broken[r], F.lit(r)) for r in REASONS]
-    return base.withColumn("reasons", F.array_compact(F.array(*named))).withColumn(
-        "valid_trade", scope & (F.size("reasons") == 0)
-    )
+    flagged = base.withColumns(broken)
+    named = F.array(*(F.when(F.col(r), F.lit(r)) for r in REASONS))
+    sound = reduce(and_, (~F.col(r) for r in REASONS), scope)
+    return flagged.withColumns({"reasons": F.array_compact(named), "valid_trade": sound})
 
 
 def quarantine_rows(flags: DataFrame) -> DataFrame:
@@ -87,8 +92,8 @@ def quarantine_rows(flags: DataFrame) -> DataFrame:
 
 def reason_counts(flags: DataFrame) -> DataFrame:
     """Rows per reason; reasons that never occur are left out."""
-    named = flags.select(F.explode("reasons").alias("reason"))
-    return named.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    total = flags.agg(*(F.count_if(F.col(r)).alias(r) for r in REASONS))
+    return total.unpivot([], list(REASONS), "reason", "rows").filter("rows > 0")
 
 
 def canonical_trades(flags: DataFrame, cfg: TapeConfig) -> DataFrame:

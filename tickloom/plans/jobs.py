@@ -34,7 +34,7 @@ from tickloom.operators.study import (
 )
 from tickloom.operators.tape import require_valid, validate_tape
 from tickloom.sources.readers import read_candidates, read_mbo, read_tape
-from tickloom.sources.writers import write_quarantine, write_table, write_tape
+from tickloom.sources.writers import stored, write_quarantine, write_table, write_tape
 
 # Candidates up to this many are broadcast; they are counted first.
 BROADCAST_CANDIDATES = 200_000
@@ -93,8 +93,11 @@ def run_tape_job(
 
 
 def setup_bars(tape: DataFrame, zone_seconds: int, signal_seconds: int):
-    """Zone bars and signal bars from one aggregate over the trades."""
-    signal = ohlcv_bars(tape, signal_seconds)
+    """Zone bars and signal bars from one aggregate over the trades.
+
+    The bars are read several times later on, so they are stored: the tape is scanned once.
+    """
+    signal = stored(ohlcv_bars(tape, signal_seconds), "signal_bars")
     return rollup_bars(signal, zone_seconds), signal
 
 
@@ -143,8 +146,8 @@ def run_label_job(
 
 
 def bar_study(trades: DataFrame, cfg: StudyConfig) -> dict[str, DataFrame]:
-    """Signals, outcomes, equity and monthly summary of loose trades."""
-    signal_bars = candles(trades, cfg.signal_bar_seconds, cfg.market_tz)
+    """Signals, outcomes, equity and monthly summary of loose trades, which are scanned once."""
+    signal_bars = stored(candles(trades, cfg.signal_bar_seconds, cfg.market_tz), "study_bars")
     zone_bars = rollup_bars(signal_bars, cfg.zone_bar_seconds, cfg.market_tz)
     rated = study_bars(signal_bars, cfg)
     signals = regime_signals(zone_bars, rated, cfg)

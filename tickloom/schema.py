@@ -46,8 +46,20 @@ PARTITIONS = ("symbol", "trading_date")
 CAUSAL = ("ts_event_ns", "sequence", "source_row_number")
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A flat schema from its text, without needing a running session."""
+    pairs = (part.split() for part in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # The tape carries each timestamp twice: exact as BIGINT ns, readable as TIMESTAMP.

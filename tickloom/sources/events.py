@@ -30,12 +30,13 @@ def mbo_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             "*",
             "4000 + (abs((sec + lane * 7200) % (43200 + half * 388800) - (21600 + half * 194400)) * 4)"
             " div 200 + cast(floor(value / 2) as bigint) AS ticks",
-            "inline(filter(array("
+            "inline(array("
             "named_struct('action', 'T', 'k', 0), "
             "if(event_id % 5 = 0, named_struct('action', 'F', 'k', 1), null), "
             "if(event_id % 7 = 0, named_struct('action', 'A', 'k', 2), null), "
-            "if(event_id % 11 = 0, named_struct('action', 'C', 'k', 3), null)), x -> x is not null))",
+            "if(event_id % 11 = 0, named_struct('action', 'C', 'k', 3), null)))",
         )
+        .filter("action is not null")
         .selectExpr(
             "event_id",
             "ns + 250000 AS ts_recv",

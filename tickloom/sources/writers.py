@@ -41,16 +41,16 @@ def _mode(overwrite: bool) -> str:
 def write_tape(df: DataFrame, path: str, cfg: TapeConfig) -> dict[str, int]:
     """Write a tape under symbol / trading_date in causal order; return what was written.
 
-    Rows are range partitioned on the partition keys and the causal key: a symbol or day that
-    holds most rows is split over many tasks, files come out sorted, and each task touches few
-    directories. The totals are counted while writing.
+    Rows are rebalanced by the partition keys: adaptive execution splits a symbol or day that
+    holds most rows over many tasks and joins small ones, from the shuffle's own sizes, so the
+    input is read once and each task touches few directories. The totals are counted while
+    writing.
     """
-    order = [*S.PARTITIONS, *S.CAUSAL]
     seen = Observation(f"tape-{uuid.uuid4().hex}")
     out = (
         S.conform(df, S.TAPE)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        .hint("rebalance", *S.PARTITIONS)
+        .sortWithinPartitions(*S.PARTITIONS, *S.CAUSAL)
         .observe(
             seen,
             F.count(F.lit(1)).alias("row_count"),
