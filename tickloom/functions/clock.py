@@ -103,12 +103,21 @@ def _clock_text(ns: Column) -> Column:
 
 
 def bucket_start(ns: Column, seconds: int, tz: str | None = None) -> Column:
-    """Start of the bar holding ``ns``; with ``tz`` the bars line up with the local clock."""
+    """Start of the bar holding ``ns``, counted from the epoch.
+
+    With ``tz``, bars shorter than a day are counted from the local midnight, so the hour that a
+    clock change repeats keeps its own bars; longer bars hold whole local days.
+    """
     width = seconds * NS
     if tz is None:
         return ns - F.pmod(ns, F.lit(width))
-    offset = ntz_seconds(local_ntz(ns, tz)) - floor_div(ns, NS)
-    return ns - F.pmod(ns + offset * NS, F.lit(width))
+    day = local_ntz(ns, tz).cast("date")
+    if seconds >= 86_400:
+        number = F.unix_date(day)
+        day = F.date_from_unix_date(number - F.pmod(number, F.lit(seconds // 86_400)))
+        return ns_from_local(day.cast("timestamp_ntz"), tz)
+    midnight = ns_from_local(day.cast("timestamp_ntz"), tz)
+    return ns - F.pmod(ns - midnight, F.lit(width))
 
 
 def month_label(path: Column) -> Column:
