@@ -3,7 +3,8 @@
 from tickloom.functions.clock import (
     bucket_start,
     epoch_ns,
-    local_ntz,
+    local_date,
+    local_us,
     month_label,
     ns_to_iso,
     ns_to_offset_iso,

@@ -1,7 +1,8 @@
 """Time columns.
 
-Nanoseconds since the epoch are the working form: Spark timestamps stop at microseconds.
-Zone arithmetic goes through TIMESTAMP_NTZ, so no result depends on the session time zone.
+Nanoseconds since the epoch are the working form: Spark timestamps stop at microseconds. Local
+clocks are microseconds too, moved by the zone's offset, so days and hours are integer arithmetic
+and no result depends on the session time zone.
 """
 
 from __future__ import annotations
@@ -11,20 +12,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NS = 1_000_000_000
+DAY = 86_400
+DAY_US = DAY * 1_000_000
 # Fixed value: the accepted text form of a UTC timestamp.
 UTC_TEXT = r"^(\d{4}-\d{2}-\d{2})T(\d{2}:\d{2}:\d{2})(?:\.(\d{1,9}))?Z$"
 
 
 def floor_div(value: Column, by: int) -> Column:
-    """Integer division rounding down, also for negative values."""
-    return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by))
+    """Integer division rounding down, naming ``value`` once.
 
-
-def utc_ntz(ns: Column) -> Column:
-    """UTC wall clock of an epoch-ns column, at microseconds."""
-    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + floor_div(ns, 1000) * F.expr(
-        "interval '0.000001' second"
-    )
+    The shift makes the dividend positive, so that truncation rounds down; values from -4e18 to
+    5.2e18 fit (nanoseconds of the years 1844 to 2134), others raise. An expression that repeats
+    its argument would double the generated code at every nesting.
+    """
+    shift = 4 * 10**18 // by
+    return F.call_function("div", value + F.lit(shift * by), F.lit(by)) - F.lit(shift)
 
 
 def ns_to_ts(ns: Column) -> Column:
@@ -32,23 +34,28 @@ def ns_to_ts(ns: Column) -> Column:
     return F.timestamp_micros(floor_div(ns, 1000))
 
 
-def ntz_seconds(ntz: Column) -> Column:
-    """Whole seconds since 1970-01-01 00:00 on the clock of ``ntz``."""
-    return F.unix_date(ntz.cast("date")).cast("bigint") * 86400 + seconds_of_day(ntz)
+def local_us(ns: Column, tz: str) -> Column:
+    """Microseconds on the clock of ``tz`` since its 1970-01-01 00:00."""
+    return F.unix_micros(F.from_utc_timestamp(ns_to_ts(ns), tz))
+
+
+def ns_from_local(us: Column, tz: str) -> Column:
+    """Epoch ns of a local clock given in microseconds."""
+    return F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(us), tz)) * 1000
 
 
-def seconds_of_day(ntz: Column) -> Column:
-    return F.hour(ntz) * 3600 + F.minute(ntz) * 60 + F.second(ntz)
+def day_number(us: Column) -> Column:
+    """Days since 1970-01-01 of a clock in microseconds."""
+    return floor_div(us, DAY_US).cast("int")
 
 
-def local_ntz(ns: Column, tz: str) -> Column:
-    """Wall clock in zone ``tz``."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc_ntz(ns))
+def seconds_of_day(us: Column) -> Column:
+    return F.call_function("div", F.pmod(us, F.lit(DAY_US)), F.lit(1_000_000))
 
 
-def ns_from_local(ntz: Column, tz: str) -> Column:
-    """Epoch ns of a whole-second wall clock in zone ``tz``."""
-    return ntz_seconds(F.convert_timezone(F.lit(tz), F.lit("UTC"), ntz)) * NS
+def local_date(ns: Column, tz: str) -> Column:
+    """``YYYY-MM-DD`` on the clock of ``tz``."""
+    return F.date_from_unix_date(day_number(local_us(ns, tz))).cast("string")
 
 
 def parse_utc_ns(text: Column) -> Column:
@@ -59,9 +66,9 @@ def parse_utc_ns(text: Column) -> Column:
     """
     seconds = F.unix_seconds(F.concat(F.left(text, F.lit(19)), F.lit("Z")).try_cast("timestamp"))
     fraction = F.rpad(F.rtrim(F.substring(text, 21, 9), F.lit("Z")), 9, "0").try_cast("bigint")
-    # Outside these seconds a BIGINT of nanoseconds would overflow.
-    kept = F.when(seconds.between(-(2**63) // NS + 1, 2**63 // NS - 1), seconds)
-    return F.when(text.rlike(UTC_TEXT), kept * NS + fraction)
+    # Years that floor_div takes; texts of this form sort by time.
+    fits = (text >= "1844") & (text < "2134")
+    return F.when(fits & text.rlike(UTC_TEXT), seconds * NS + fraction)
 
 
 def epoch_ns(df: DataFrame, name: str) -> Column:
@@ -73,10 +80,8 @@ def epoch_ns(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(col) * 1000
     if isinstance(kind, T.TimestampNTZType):
-        micros = F.extract(F.lit("SECOND"), col) * 1_000_000
-        whole = F.unix_date(col.cast("date")).cast("bigint") * 86400
-        clock = F.hour(col) * 3600 + F.minute(col) * 60
-        return ((whole + clock) * 1_000_000 + micros.cast("bigint")) * 1000
+        since = (col - F.expr("timestamp_ntz'1970-01-01'")).cast("interval second")
+        return (since.cast("decimal(20,6)") * 1_000_000).cast("bigint") * 1000
     if isinstance(kind, (T.LongType, T.DecimalType)):
         return col.cast("bigint")
     raise TypeError(f"{name} has no timestamp form: {kind.simpleString()}")
@@ -90,7 +95,7 @@ def ns_to_iso(ns: Column) -> Column:
 
 def ns_to_offset_iso(ns: Column) -> Column:
     """``2026-04-06T16:00:00+00:00``; microseconds appear only when they are not zero."""
-    micros = floor_div(F.pmod(ns, F.lit(NS)), 1000)
+    micros = F.call_function("div", F.pmod(ns, F.lit(NS)), F.lit(1000))
     tail = F.when(micros == 0, F.lit("")).otherwise(
         F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))
     )
@@ -98,8 +103,10 @@ def ns_to_offset_iso(ns: Column) -> Column:
 
 
 def _clock_text(ns: Column) -> Column:
-    whole = ns - F.pmod(ns, F.lit(NS))
-    return F.replace(utc_ntz(whole).cast("string"), F.lit(" "), F.lit("T"))
+    """``YYYY-MM-DDTHH:MM:SS`` of the UTC clock."""
+    second = F.expr("interval '1' second")
+    clock = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + floor_div(ns, NS) * second
+    return F.replace(clock.cast("string"), F.lit(" "), F.lit("T"))
 
 
 def bucket_start(ns: Column, seconds: int, tz: str | None = None) -> Column:
@@ -110,13 +117,11 @@ def bucket_start(ns: Column, seconds: int, tz: str | None = None) -> Column:
     """
     width = seconds * NS
     if tz is None:
-        return ns - F.pmod(ns, F.lit(width))
-    day = local_ntz(ns, tz).cast("date")
-    if seconds >= 86_400:
-        number = F.unix_date(day)
-        day = F.date_from_unix_date(number - F.pmod(number, F.lit(seconds // 86_400)))
-        return ns_from_local(day.cast("timestamp_ntz"), tz)
-    midnight = ns_from_local(day.cast("timestamp_ntz"), tz)
+        return floor_div(ns, width) * width
+    span = max(seconds // DAY, 1) * DAY_US
+    midnight = ns_from_local(floor_div(local_us(ns, tz), span) * span, tz)
+    if seconds >= DAY:
+        return midnight
     return ns - F.pmod(ns - midnight, F.lit(width))
 
 

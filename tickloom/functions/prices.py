@@ -37,13 +37,18 @@ def round_value(value: Decimal, tick: Decimal, mode: str = "half_up") -> Decimal
 
 def on_tick(price: Column, tick: Decimal) -> Column:
     """Finite, positive and within 1e-9 ticks of a multiple; false for null."""
+    return finite_positive(price) & tick_aligned(price, tick)
+
+
+def tick_aligned(price: Column, tick: Decimal) -> Column:
+    """Within 1e-9 ticks of a multiple; false for null, NaN and infinity."""
     scaled = price * F.lit(float(1 / tick))
-    return finite_positive(price) & F.coalesce(F.abs(scaled - F.rint(scaled)) <= 1e-9, F.lit(False))
+    return F.coalesce(F.abs(scaled - F.rint(scaled)) <= 1e-9, F.lit(False))
 
 
 def finite_positive(price: Column) -> Column:
-    ok = ~F.isnan(price) & (price > 0) & (price < F.lit(float("inf")))
-    return F.coalesce(ok, F.lit(False))
+    """Above zero and below infinity, which NaN is not either; false for null."""
+    return F.coalesce((price > 0) & (price < F.lit(float("inf"))), F.lit(False))
 
 
 def signed_volume(side: Column, size: Column) -> Column:

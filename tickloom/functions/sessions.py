@@ -6,14 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tickloom.config import TapeConfig, clock_seconds
-from tickloom.functions.clock import local_ntz, ns_from_local, seconds_of_day
+from tickloom.functions.clock import (
+    DAY,
+    DAY_US,
+    day_number,
+    local_us,
+    ns_from_local,
+    seconds_of_day,
+)
+
+# Fixed value: seconds of the day at which the skipped bar starts, 09:30.
+OPEN_BAR = 9 * 3600 + 30 * 60
 
 
 def trading_date(ns: Column, cfg: TapeConfig) -> Column:
     """Local date, moved to the next day from the session start on; '' for a null time."""
-    to_midnight = 86_400 - clock_seconds(cfg.session_start)
-    shifted = local_ntz(ns, cfg.exchange_timezone) + F.expr(f"interval '{to_midnight}' second")
-    return F.coalesce(shifted.cast("date").cast("string"), F.lit(""))
+    to_midnight = (DAY - clock_seconds(cfg.session_start)) * 1_000_000
+    day = day_number(local_us(ns, cfg.exchange_timezone) + to_midnight)
+    return F.coalesce(F.date_from_unix_date(day).cast("string"), F.lit(""))
 
 
 def session_id(date_text: Column, cfg: TapeConfig) -> Column:
@@ -25,7 +35,7 @@ def session_id(date_text: Column, cfg: TapeConfig) -> Column:
 
 def is_rth(ns: Column, cfg: TapeConfig) -> Column:
     """Inside regular trading hours, end excluded; false for a null time."""
-    clock = seconds_of_day(local_ntz(ns, cfg.exchange_timezone))
+    clock = seconds_of_day(local_us(ns, cfg.exchange_timezone))
     inside = (clock >= clock_seconds(cfg.rth_start)) & (clock < clock_seconds(cfg.rth_end))
     return F.coalesce(inside, F.lit(False))
 
@@ -40,25 +50,24 @@ def session_segment(ns: Column, cfg: TapeConfig) -> Column:
 
 def session_open_ns(date_text: Column, cfg: TapeConfig) -> Column:
     """UTC ns of the session start, on the evening before the trading date."""
-    return _local_clock(F.date_sub(date_text.cast("date"), 1), cfg.session_start, cfg)
+    return _local_clock(F.unix_date(date_text.cast("date")) - 1, cfg.session_start, cfg)
 
 
 def session_close_ns(date_text: Column, cfg: TapeConfig) -> Column:
-    return _local_clock(date_text.cast("date"), cfg.session_end, cfg)
+    return _local_clock(F.unix_date(date_text.cast("date")), cfg.session_end, cfg)
 
 
 def _local_clock(day: Column, text: str, cfg: TapeConfig) -> Column:
-    seconds = clock_seconds(text)
-    wall = day.cast("timestamp_ntz") + F.expr(f"interval '{seconds}' second")
-    return ns_from_local(wall, cfg.exchange_timezone)
+    us = day.cast("bigint") * DAY_US + clock_seconds(text) * 1_000_000
+    return ns_from_local(us, cfg.exchange_timezone)
 
 
 def in_market_hours(
     ns: Column, tz: str, first_hour: int = 3, last_hour: int = 16, skip_open_bar: bool = True
 ) -> Column:
     """first_hour <= local hour < last_hour, without the bar that starts at 09:30."""
-    local = local_ntz(ns, tz)
-    inside = (F.hour(local) >= first_hour) & (F.hour(local) < last_hour)
+    clock = seconds_of_day(local_us(ns, tz))
+    inside = (clock >= first_hour * 3600) & (clock < last_hour * 3600)
     if skip_open_bar:
-        inside = inside & ~((F.hour(local) == 9) & (F.minute(local) == 30))
+        inside = inside & ~clock.between(OPEN_BAR, OPEN_BAR + 59)
     return inside

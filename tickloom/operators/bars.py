@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.clock import bucket_start, local_ntz
+from tickloom.functions.clock import bucket_start, local_date
 from tickloom.functions.ordering_keys import MAX_PACKED_SECONDS, causal_key, guard_nulls
 
 
@@ -81,7 +81,7 @@ def candles(
 
 def daily_ranges(bars: DataFrame, tz: str) -> DataFrame:
     """High minus low of each local day."""
-    day = local_ntz(F.col("bar_start_ns"), tz).cast("date").cast("string")
+    day = local_date(F.col("bar_start_ns"), tz)
     return (
         bars.groupBy("symbol", day.alias("local_date"))
         .agg(F.max("high").alias("high"), F.min("low").alias("low"))

@@ -12,7 +12,13 @@ from tickloom import schema as S
 from tickloom.config import TapeConfig
 from tickloom.errors import QualityError
 from tickloom.functions.clock import epoch_ns, ns_to_iso, ns_to_ts
-from tickloom.functions.prices import finite_positive, on_tick, signed_volume, unknown_aggressor
+from tickloom.functions.prices import (
+    finite_positive,
+    on_tick,
+    signed_volume,
+    tick_aligned,
+    unknown_aggressor,
+)
 from tickloom.functions.sessions import is_rth, session_id, session_segment, trading_date
 
 # Names of the reasons.
@@ -38,8 +44,8 @@ def quality_flags(df: DataFrame, cfg: TapeConfig) -> DataFrame:
     ``valid_trade``.
 
     Stateless: one projection over the scan. Action, side, time and sequence are judged on every
-    row, the rest only on trades of the wanted symbols. ``valid_trade`` reads the flags, not the
-    array, so it compiles into the scan stage; the array is built only where it is used.
+    row, the rest only on trades of the wanted symbols. ``valid_trade`` is one conjunction
+    that compiles into the scan stage; the array of reasons is built only where it is used.
     """
     symbol = F.col("symbol")
     wanted = _true(symbol.isin(*cfg.symbol_filters)) if cfg.symbol_filters else F.lit(True)
@@ -50,22 +56,29 @@ def quality_flags(df: DataFrame, cfg: TapeConfig) -> DataFrame:
             "trade_scope": _true(F.col("action") == "T") & wanted,
         }
     )
-    scope = F.col("trade_scope")
-    broken = {
-        "invalid_action": ~_true(F.col("action").isin(*S.ACTIONS)),
-        "invalid_side": ~_true(F.col("side").isin(*S.SIDES)),
-        "invalid_ts_event": F.col("ts_event_ns").isNull(),
-        "invalid_ts_recv": F.col("ts_recv_ns").isNull(),
-        "invalid_sequence": F.col("sequence").isNull(),
-        "invalid_price": scope & ~finite_positive(F.col("price")),
-        "invalid_size": scope & ~_true(F.col("size") > 0),
-        "invalid_symbol": scope & ~_true(symbol != ""),
-        "invalid_tick_price": scope & ~on_tick(F.col("price"), cfg.tick_size),
+    scope, price = F.col("trade_scope"), F.col("price")
+    everywhere = {
+        "invalid_action": _true(F.col("action").isin(*S.ACTIONS)),
+        "invalid_side": _true(F.col("side").isin(*S.SIDES)),
+        "invalid_ts_event": F.col("ts_event_ns").isNotNull(),
+        "invalid_ts_recv": F.col("ts_recv_ns").isNotNull(),
+        "invalid_sequence": F.col("sequence").isNotNull(),
+    }
+    in_scope = {
+        "invalid_price": finite_positive(price),
+        "invalid_size": _true(F.col("size") > 0),
+        "invalid_symbol": _true(symbol != ""),
+        "invalid_tick_price": tick_aligned(price, cfg.tick_size),
     }
-    flagged = base.withColumns(broken)
+    flagged = {name: ~ok for name, ok in everywhere.items()}
+    flagged |= {name: scope & ~ok for name, ok in in_scope.items()}
+    # A bad price is a bad tick as well; a row's validity need not ask twice.
+    flagged["invalid_tick_price"] = scope & ~on_tick(price, cfg.tick_size)
+    sound = reduce(and_, [*everywhere.values(), *in_scope.values()], scope)
     named = F.array(*(F.when(F.col(r), F.lit(r)) for r in REASONS))
-    sound = reduce(and_, (~F.col(r) for r in REASONS), scope)
-    return flagged.withColumns({"reasons": F.array_compact(named), "valid_trade": sound})
+    return base.withColumns({**flagged, "valid_trade": sound}).withColumn(
+        "reasons", F.array_compact(named)
+    )
 
 
 def quarantine_rows(flags: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.config import StudyConfig
-from tickloom.functions.clock import NS, local_ntz
+from tickloom.functions.clock import NS, local_date
 from tickloom.functions.prices import contracts, overlaps_zone
 from tickloom.functions.sessions import in_market_hours
 from tickloom.operators.bars import daily_ranges
@@ -15,10 +15,6 @@ from tickloom.operators.indicators import bar_number, effort_ratios, with_entry_
 from tickloom.operators.matching import greedy_match
 
 
-def local_date(ns: Column, tz: str) -> Column:
-    return local_ntz(ns, tz).cast("date").cast("string")
-
-
 def volatility_regimes(bars: DataFrame, cfg: StudyConfig) -> DataFrame:
     """Regime of each local day from the day before against the median of the days before it.
 

@@ -13,7 +13,7 @@ from tickloom.config import (
     StudyConfig,
     TapeConfig,
 )
-from tickloom.functions.clock import local_ntz
+from tickloom.functions.clock import local_date
 from tickloom.operators import audit as A
 from tickloom.operators.bars import candles, ohlcv_bars, rollup_bars
 from tickloom.operators.candidates import failed_gap_candidates, indicator_candidates
@@ -151,14 +151,12 @@ def bar_study(trades: DataFrame, cfg: StudyConfig) -> dict[str, DataFrame]:
     zone_bars = rollup_bars(signal_bars, cfg.zone_bar_seconds, cfg.market_tz)
     rated = study_bars(signal_bars, cfg)
     signals = regime_signals(zone_bars, rated, cfg)
-    month = F.date_format(local_ntz(F.col("entry_ns"), cfg.market_tz).cast("date"), "yyyy-MM")
+    month = F.left(local_date(F.col("entry_ns"), cfg.market_tz), F.lit(7))
     outcomes = bar_barrier_outcomes(signals.filter("tradable"), rated, cfg).withColumn(
         "month", month
     )
     curve = equity_curve(outcomes, cfg)
-    bar_month = F.date_format(
-        local_ntz(F.col("bar_start_ns"), cfg.market_tz).cast("date"), "yyyy-MM"
-    )
+    bar_month = F.left(local_date(F.col("bar_start_ns"), cfg.market_tz), F.lit(7))
     missing = rated.groupBy("symbol", bar_month.alias("month")).agg(
         F.count_if("missing_entry").alias("skipped_missing_entry")
     )
