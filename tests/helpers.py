@@ -22,7 +22,7 @@ def iso(value: int) -> str:
 BAR = "ts string, open double, high double, low double, close double, volume bigint, session_id string"
 
 
-def bars(spark, rows, symbol="MNQM6"):
+def bars(spark, rows, symbol="ESM6"):
     """Bars from (time, open, high, low, close, volume[, session])."""
     out = [
         (symbol, r[6] if len(r) > 6 else SESSION, ns(r[0]), *map(float, r[1:5]), r[5]) for r in rows
@@ -34,7 +34,7 @@ def bars(spark, rows, symbol="MNQM6"):
     )
 
 
-def tape(spark, rows, symbol="MNQM6"):
+def tape(spark, rows, symbol="ESM6"):
     """Tape rows from (time text or ns, price, size, sequence[, source row])."""
     out = []
     for r in rows:
@@ -53,7 +53,7 @@ def candidate(setup_id, side, entry_time, entry, stop, target, **more):
     base = {
         "setup_id": setup_id,
         "ts_event": stamp,
-        "symbol": "MNQM6",
+        "symbol": "ESM6",
         "cme_session_id": SESSION,
         "setup_type": "TEST",
         "entry_side": side,
@@ -106,7 +106,7 @@ MBO = T.StructType(
 
 
 def mbo_row(action, side, price=18000.25, size=1, sequence=1, ts="2026-04-06T00:00:00.001184655Z"):
-    return (ts, ts, 160, 1, 123, action, side, price, size, 1, 1000 + (sequence or 0), 0, 0, sequence, "MNQM6")
+    return (ts, ts, 160, 1, 123, action, side, price, size, 1, 1000 + (sequence or 0), 0, 0, sequence, "ESM6")
 
 
 def mbo(spark, rows):

@@ -96,10 +96,10 @@ def brute(c, trades, cfg):
 
 
 @pytest.mark.parametrize(
-    ("bucket", "latency", "wide", "small", "dates"),
-    [(60, 0, False, False, None), (7, 13, True, False, None), (900, 1, False, True, 11), (86_400, 0, False, True, None)],
+    ("bucket", "latency", "wide", "small"),
+    [(60, 0, False, False), (7, 13, True, False), (900, 1, False, True), (86_400, 0, False, True)],
 )
-def test_labels_against_a_walk(spark, bucket, latency, wide, small, dates):
+def test_labels_against_a_walk(spark, bucket, latency, wide, small):
     rng = random.Random(bucket)
     start = ns("2026-04-06T10:00:00Z")
     price, trades = 100.0, []
@@ -121,12 +121,8 @@ def test_labels_against_a_walk(spark, bucket, latency, wide, small, dates):
         rows.append(candidate(c["id"], side, text, near, c["stop"], c["target"], max_holding_seconds=hold))
     cfg = ExecutionConfig(entry_latency_seconds=latency)
     df = tape(spark, trades)
-    if dates:
-        from pyspark.sql import functions as F
-
-        df = df.withColumn("trading_date", F.lit("2026-04-06"))
     out = first_barrier_labels(
-        candidates(spark, *rows, rows[0]), df.repartition(5), cfg, bucket, wide, small, dates
+        candidates(spark, *rows, rows[0]), df.repartition(5), cfg, bucket, wide, small
     ).collect()
     assert len(out) == 81
     got = {
@@ -186,7 +182,6 @@ def test_label_report_golden(spark, tmp_path):
 def test_jobs_end_to_end(spark, tmp_path):
     from test_setups import GAP, TRADES
 
-    from tickloom.functions import ns_to_ts  # noqa: F401
     rows = [(f"2026-04-06T{t}Z", p, s, i) for i, (t, p, s) in enumerate(TRADES, 1)]
     from pyspark.sql import functions as F
 
@@ -196,6 +191,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     run_candidate_job(spark, str(tmp_path / "tape"), str(tmp_path / "cands"), cfg, GAP)
     run_label_job(spark, str(tmp_path / "tape"), str(tmp_path / "cands"), str(tmp_path / "labels"), cfg, FREE)
     (row,) = spark.read.parquet(str(tmp_path / "labels")).collect()
+    assert row["symbol"] == "ESM6"
     assert row["exit_reason"] == "MAX_HOLD" and row["event_count"] == 2 and row["exit_trade_price"] == 99.0
     with pytest.raises(Exception, match="(?i)exists"):
         run_candidate_job(spark, str(tmp_path / "tape"), str(tmp_path / "cands"), cfg, GAP)
@@ -210,10 +206,10 @@ def test_bar_outcomes(spark):
     numbered = numbered.withColumn("bar_no", F.col("bar_no").cast("bigint"))
     signals = spark.createDataFrame(
         [
-            ("MNQM6", 1, 0, "LONG", 100.0, 97.0, 3.0, 1.0, 3, 1),
-            ("MNQM6", 2, 0, "LONG", 100.0, 96.0, 4.0, 0.75, 3, 2),
-            ("MNQM6", 3, 0, "SHORT", 100.0, 120.0, 20.0, 4.0, 2, 1),
-            ("MNQM6", 4, 0, "SHORT", 100.0, 103.5, 3.5, 1.0, 3, 1),
+            ("ESM6", 1, 0, "LONG", 100.0, 97.0, 3.0, 1.0, 3, 1),
+            ("ESM6", 2, 0, "LONG", 100.0, 96.0, 4.0, 0.75, 3, 2),
+            ("ESM6", 3, 0, "SHORT", 100.0, 120.0, 20.0, 4.0, 2, 1),
+            ("ESM6", 4, 0, "SHORT", 100.0, 103.5, 3.5, 1.0, 3, 1),
         ],
         "symbol string, signal_ns bigint, bar_no bigint, direction string, entry_open double, stop double, "
         "risk_points double, regime_take_profit_r double, regime_max_hold_bars int, contracts bigint",

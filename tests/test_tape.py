@@ -24,7 +24,7 @@ from tickloom.operators.tape import require_valid, tape_totals, validate_tape
 from tickloom.plans.jobs import audit_mbo, build_tape, run_tape_job
 from tickloom.sources import readers, writers
 
-CFG = TapeConfig(symbol_filters=("MNQM6",), invalid_row_policy="quarantine", overwrite=True)
+CFG = TapeConfig(symbol_filters=("ESM6",), invalid_row_policy="quarantine", overwrite=True)
 
 
 def raw_file(spark, path, rows, files=1):
@@ -60,7 +60,7 @@ def test_job_writes_and_reconciles(spark, tmp_path):
 def test_fills_are_not_counted_twice(spark, tmp_path):
     rows = [mbo_row("T", "B", size=5, sequence=1), mbo_row("F", "B", size=5, sequence=2)]
     source = raw_file(spark, tmp_path / "raw", rows)
-    cfg = TapeConfig(symbol_filters=("MNQM6",), overwrite=True)
+    cfg = TapeConfig(symbol_filters=("ESM6",), overwrite=True)
     run_tape_job(spark, source, str(tmp_path / "tape"), str(tmp_path / "rep"), cfg)
     (row,) = readers.read_tape(spark, str(tmp_path / "tape")).collect()
     assert (row["size"], row["signed_volume"]) == (5, 5)

@@ -524,24 +524,30 @@ def candidate_roundtrip(spark, d):
 # Labels ---------------------------------------------------------------------------------------
 
 
-def _candidates(spark, d):
-    return writers.stored(J.technical_candidates(tape_view(spark, d), TECH), "candidates")
+def _stored_tape(spark, d):
+    """Labels and reports start from a stored tape, as the jobs do."""
+    return writers.stored(tape_view(spark, d), "tape")
 
 
-def _labels(spark, d, cfg=FILLS):
-    return L.first_barrier_labels(_candidates(spark, d), tape_view(spark, d), cfg)
+def _candidates(tape):
+    return writers.stored(J.technical_candidates(tape, TECH), "candidates")
+
+
+def _labels(tape, cfg=FILLS):
+    return L.first_barrier_labels(_candidates(tape), tape, cfg)
 
 
 @query
 def first_barrier_labels(spark, d):
-    return plain(_labels(spark, d))
+    return plain(_labels(_stored_tape(spark, d)))
 
 
 @query
 def label_invalids(spark, d):
     """Candidates with side, stop or target altered by turns."""
+    tape = _stored_tape(spark, d)
     turn = F.unix_micros("entry_timestamp") / 1_800_000_000 % 4
-    made = _candidates(spark, d).withColumn("_turn", turn.cast("int"))
+    made = _candidates(tape).withColumn("_turn", turn.cast("int"))
     stop, target = F.col("stop_price"), F.col("target_1")
     made = made.withColumns(
         {
@@ -551,14 +557,14 @@ def label_invalids(spark, d):
             .otherwise(stop),
         }
     ).drop("_turn")
-    out = L.first_barrier_labels(made, tape_view(spark, d), FILLS)
+    out = L.first_barrier_labels(made, tape, FILLS)
     return plain(_label_core(out))
 
 
 @query
 def label_no_future(spark, d):
     """Latency beyond the holding time leaves every window empty."""
-    return plain(_label_core(_labels(spark, d, LATE)))
+    return plain(_label_core(_labels(_stored_tape(spark, d), LATE)))
 
 
 def _label_core(labels):
@@ -580,30 +586,33 @@ def _label_core(labels):
 
 @query
 def label_gate_report(spark, d):
-    return R.label_gate_report(_labels(spark, d))
+    return R.label_gate_report(_labels(_stored_tape(spark, d)))
 
 
 @query
 def label_summary(spark, d):
-    return R.label_summary(_labels(spark, d), _m30(spark, d))
+    tape = _stored_tape(spark, d)
+    return R.label_summary(_labels(tape), B.ohlcv_bars(tape, 1800))
 
 
 @query
 def label_counts(spark, d):
-    return R.label_counts(_labels(spark, d))
+    return R.label_counts(_labels(_stored_tape(spark, d)))
 
 
 @query
 def net_r_buckets(spark, d):
-    return R.net_r_buckets(_labels(spark, d))
+    return R.net_r_buckets(_labels(_stored_tape(spark, d)))
 
 
 @query
 def label_diagnosis(spark, d):
     """Diagnosis of labels that went through the stored form and the report reader."""
     path = writers.scratch_path(spark, "labels")
-    writers.write_table(_labels(spark, d), path, CLEAN)
-    out = R.diagnose(R.label_summary(readers.read_labels(spark, path), _m30(spark, d)))
+    tape = _stored_tape(spark, d)
+    writers.write_table(_labels(tape), path, CLEAN)
+    bars = B.ohlcv_bars(tape, 1800)
+    out = R.diagnose(R.label_summary(readers.read_labels(spark, path), bars))
     return out.select("candidate_count", F.array_join("diagnosis", "; ").alias("diagnosis"))
 
 

@@ -123,8 +123,10 @@ def timestamp_report(cells: DataFrame) -> DataFrame:
 
 def session_coverage(cells: DataFrame) -> DataFrame:
     """Rows and first and last time of each session of valid trades."""
+    # Cells with valid rows are those with a session; asking for the count keeps the test above
+    # the aggregate instead of repeating the session arithmetic in the scan's filter.
     return (
-        cells.filter(F.col("session_id").isNotNull())
+        cells.filter(F.col("valid_rows") > 0)
         .groupBy("session_id")
         .agg(
             F.sum("valid_rows").alias("rows"),

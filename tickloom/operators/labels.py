@@ -70,7 +70,6 @@ def barrier_events(
     bucket_seconds: int = 60,
     wide_keys: bool = False,
     small_tasks: bool = False,
-    prefix_length: int | None = None,
 ) -> DataFrame:
     """First hit, last trade and trade count in each task's window.
 
@@ -82,23 +81,15 @@ def barrier_events(
        edges are joined, through an equi-join on (symbol, session, bucket).
 
     ``small_tasks`` says the caller has counted the tasks and they fit a broadcast; the tape is
-    then not shuffled in pass 2. ``prefix_length`` says that session names are that many
-    characters and the trading date; the date then joins the keys, so a tape partitioned by date
-    is pruned to the dates in use.
-    """
+    then not shuffled in pass 2.    """
     hint = F.broadcast if small_tasks else (lambda df: df)
     join_on = ["symbol", "cme_session_id"]
     cols = ["symbol", "session_id", "ts_event_ns", "sequence", "source_row_number", "price"]
-    if prefix_length is not None:
-        cols.append("trading_date")
-        join_on = join_on + ["trading_date"]
-        day = F.substring("cme_session_id", prefix_length + 1, 10)
-        tasks = tasks.withColumn("trading_date", day)
     keys = [*join_on, *(c for c in _TASK if c not in join_on)]
     trades = tape.select(*cols).withColumnRenamed("session_id", "cme_session_id")
     trades = trades.withColumn("bucket", bucket_start(F.col("ts_event_ns"), bucket_seconds))
     if small_tasks:
-        # Sessions (and dates) that no task asks for are dropped at the scan.
+        # Sessions that no task asks for are dropped before the aggregate.
         trades = trades.join(F.broadcast(tasks.select(*join_on).distinct()), join_on, "left_semi")
 
     needed = [F.col(c) for c in ("price", "sequence", "source_row_number")]
@@ -206,7 +197,6 @@ def first_barrier_labels(
     bucket_seconds: int = 60,
     wide_keys: bool = False,
     small_tasks: bool = False,
-    prefix_length: int | None = None,
 ) -> DataFrame:
     """One label per candidate: exit, fills, points and R after costs.
 
@@ -215,7 +205,7 @@ def first_barrier_labels(
     """
     windows = with_windows(candidates, cfg)
     events = barrier_events(
-        _tasks(windows), tape, bucket_seconds, wide_keys, small_tasks, prefix_length
+        _tasks(windows), tape, bucket_seconds, wide_keys, small_tasks
     )
     joined = windows.join(events, list(_TASK), "left")
     side, verdict = F.col("entry_side"), F.col("verdict")

@@ -38,6 +38,8 @@ from tickloom.sources.writers import stored, write_quarantine, write_table, writ
 
 # Candidates up to this many are broadcast; they are counted first.
 BROADCAST_CANDIDATES = 200_000
+# Up to this many symbols are named in the tape's partition filter.
+PRUNED_SYMBOLS = 1_000
 
 
 def audit_mbo(mbo: DataFrame, cfg: TapeConfig) -> dict[str, DataFrame]:
@@ -135,12 +137,32 @@ def run_label_job(
     cfg: TapeConfig,
     execution: ExecutionConfig,
 ) -> None:
-    """Label stored candidates. They are counted first; only a counted few are broadcast."""
-    cols = ("ts_event_ns", "sequence", "symbol", "price", "session_id", "source_row_number")
+    """Label stored candidates. They are counted first; only a counted few are broadcast.
+
+    Their dates, and their symbols when few, also choose the partitions of the tape to read.
+    """
+    cols = (
+        "ts_event_ns",
+        "sequence",
+        "symbol",
+        "price",
+        "session_id",
+        "source_row_number",
+        "trading_date",
+    )
     candidates = read_candidates(spark, candidates_path)
-    small = candidates.limit(BROADCAST_CANDIDATES + 1).count() <= BROADCAST_CANDIDATES
+    day = F.substring("cme_session_id", len(cfg.session_prefix) + 1, 10)
+    seen = candidates.agg(
+        F.count(F.lit(1)).alias("n"), F.min(day).alias("first"), F.max(day).alias("last")
+    ).first()
+    tape = read_tape(spark, tape_path, cols).filter(
+        F.col("trading_date").between(seen["first"], seen["last"])
+    )
+    names = candidates.select("symbol").distinct().limit(PRUNED_SYMBOLS + 1).collect()
+    if len(names) <= PRUNED_SYMBOLS:
+        tape = tape.filter(F.col("symbol").isin([r["symbol"] for r in names]))
     labels = first_barrier_labels(
-        candidates, read_tape(spark, tape_path, cols), execution, small_tasks=small
+        candidates, tape, execution, small_tasks=seen["n"] <= BROADCAST_CANDIDATES
     )
     write_table(labels, target, cfg, sort=("entry_timestamp", "setup_id"))
 
