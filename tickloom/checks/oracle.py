@@ -254,7 +254,6 @@ SELECT sha256('qep_technical_v1|' || {_offset_iso('bar_start_ns')} || '|' ||
   'QEP_TECHNICAL' AS setup_type, CASE dir WHEN 1 THEN 'LONG' ELSE 'SHORT' END AS entry_side,
   close AS reference_level, entry AS entry_price, entry_ns // 1000 AS entry_timestamp,
   stop AS structural_invalidation, stop AS stop_price,
-  entry + dir * floor(risk * 1.5::DOUBLE * 4 + 0.5) / 4 AS t1_up,
   CASE dir WHEN 1 THEN floor((entry + risk * 1.5::DOUBLE) * 4 + 0.5) / 4
     ELSE floor((entry - risk * 1.5::DOUBLE) * 4 + 0.5) / 4 END AS target_1,
   entry + dir * risk * 3 AS target_2,
