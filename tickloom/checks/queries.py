@@ -31,7 +31,7 @@ from tickloom.operators.ordering import ordering_report
 from tickloom.operators.tape import tape_totals, validate_tape
 from tickloom.plans import jobs as J
 from tickloom.sources import readers, writers
-from tickloom.sources.events import dirty_view, mbo_view, read_events, tape_view
+from tickloom.sources.events import dirty_view, read_events, tape_view
 
 CLEAN = TapeConfig()
 DIRTY = TapeConfig(invalid_row_policy="quarantine", overwrite=True)

@@ -65,7 +65,10 @@ def action_side_report(cells: DataFrame) -> DataFrame:
         named.groupingSets([["action"], ["side"], ["action", "side"]], "action", "side")
         .agg(F.sum("rows").alias("rows"), F.grouping_id().alias("_g"))
         .select(
-            F.element_at(F.array(F.lit("action_side"), F.lit("action"), F.lit("side")), F.col("_g").cast("int") + 1).alias("grouping"),
+            F.element_at(
+                F.array(F.lit("action_side"), F.lit("action"), F.lit("side")),
+                F.col("_g").cast("int") + 1,
+            ).alias("grouping"),
             "action",
             "side",
             "rows",

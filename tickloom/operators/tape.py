@@ -22,10 +22,16 @@ def validate_tape(totals: DataFrame, volume: DataFrame) -> DataFrame:
 
     ``failures`` lists what does not agree; it is empty for a sound tape.
     """
-    both = totals.select("*", *(volume.select(c).scalar().alias(c) for c in (
-        "total_rows", "total_f_rows", "valid_t_rows", "sum_t_size")),
-        volume.select("sum_signed_volume").scalar().alias("source_signed_volume"),
+    source = volume.select(
+        "total_rows",
+        "total_f_rows",
+        "valid_t_rows",
+        "sum_t_size",
+        F.col("sum_signed_volume").alias("source_signed_volume"),
     )
+    # Two one-row tables with different columns, put side by side.
+    stacked = totals.unionByName(source, allowMissingColumns=True)
+    both = stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
     # The messages.
     checks = [
         (F.col("row_count") != F.col("valid_t_rows"), "output row count does not match manifest"),
