@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.simhash import components
 from tickloom.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = components(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
