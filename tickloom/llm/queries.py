@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.simhash import components
 from tickloom.llm.suffix_dedup import remove_repeats
+from tickloom.llm.winnowing import contamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -33,3 +34,17 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = components(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op4_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids.cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
