@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm import warc
 from tickloom.llm.simhash import components
 from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.winnowing import contamination
+from tickloom.sources.writers import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -48,3 +50,40 @@ def op4_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(ids.cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op9_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "warc")
+    warc.write_warc(pages, path)
+    records = warc.read_warc(spark, path)
+    own = F.pandas_udf(lambda s: s.map(warc.digest), "string")
+    whole = F.col("type") == "response"
+    records = records.withColumn("size", F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("http_length")))
+    records = records.withColumn("read_digest", F.when(whole, own("payload")).otherwise(F.col("digest")))
+    note = lambda x: F.col("metadata.fields")[x].cast(pages.schema["page_id"].dataType)
+    return warc.transactions(records).select(
+        note("page-id").alias("page_id"),
+        F.col("size").alias("payload_bytes"),
+        F.col("read_digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        note("first-page-id").alias("refers_to"),
+    )
+
+
+ORACLE_SQL["op9_warc_transactions"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p
+), b AS (
+  SELECT *, [('0x' || substr(h, 5 * i + 1, 5))::BIGINT FOR i IN range(8)] AS parts FROM d
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((parts[(i // 4 + 1)::BIGINT] >> (15 - 5 * (i % 4))::BIGINT) & 31)::BIGINT + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM b
+"""
