@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import warc
 from tickloom.llm.simhash import components
 from tickloom.llm.suffix_dedup import remove_repeats
+from tickloom.llm.syncmers import compare_edits
 from tickloom.llm.winnowing import contamination
 from tickloom.sources.writers import scratch_path
 
@@ -87,3 +88,8 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM b
 """
+
+
+@query
+def op5_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edits(table(spark, sf_dir, "documents"))
