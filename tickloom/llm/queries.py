@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import warc
+from tickloom.llm.packing import pack_documents
 from tickloom.llm.simhash import components
 from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.syncmers import compare_edits
 from tickloom.llm.winnowing import contamination
 from tickloom.sources.writers import scratch_path
 
+TOKENIZER = "byte_bpe_50k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -93,3 +96,9 @@ FROM b
 @query
 def op5_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
