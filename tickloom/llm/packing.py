@@ -25,10 +25,6 @@ from tickloom.sources.writers import stored
 CAPACITY, END_ID = 1024, 2
 #: Pieces that one task packs.
 BLOCK_PIECES = 50_000
-#: Pieces that one task packs.
-BLOCK_PIECES = 50_000
-#: Runs without a space in which merging pair by pair would take quadratic time.
-_LONG_RUN = re.compile(r"\S{5000}|\s{5000}")
 _PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
