@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import warc
 from tickloom.llm.packing import pack_documents
+from tickloom.llm.pii import KINDS, find_pii, listed
 from tickloom.llm.simhash import components
 from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.syncmers import compare_edits
@@ -102,3 +103,15 @@ def op5_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op10_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_pii(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+    return out.select(
+        "doc_id",
+        *(count(k) for k in KINDS),
+        F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
