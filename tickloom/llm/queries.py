@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import warc
+from tickloom.llm import chat, warc
 from tickloom.llm.packing import pack_documents
 from tickloom.llm.pii import KINDS, find_pii, listed
 from tickloom.llm.simhash import components
@@ -115,3 +115,28 @@ def op10_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op3_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    events = chat.as_events(rows.unionByName(extra.select([F.col(c).cast(t) for c, t in rows.select("conv_id", "turn", "role", "text").dtypes])))
+    return chat.read_back(chat.conversations(events))
+
+
+ORACLE_SQL["op3_event_sourced_chat"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+  SELECT *, regexp_replace(replace(text, '\', '\\'), '<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<\|im_sep\|>|</?s>|\[/?INST\]|<</?SYS>>', 'xx\0', 'g') AS body FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(role) + length(body) + 24) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
