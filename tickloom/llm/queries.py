@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from tickloom.llm import chat, warc
 from tickloom.llm.packing import pack_documents
 from tickloom.llm.pii import KINDS, find_pii, listed
+from tickloom.llm.quality import GOOD_FROM, score_quality
 from tickloom.llm.simhash import components
 from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.syncmers import compare_edits
+from tickloom.llm.toxicity import score_toxicity
 from tickloom.llm.winnowing import contamination
 from tickloom.sources.writers import scratch_path
 
@@ -140,3 +142,15 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length(role) + length(body) + 24) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "flagged")
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
