@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A row is known by two 64-bit hashes of its id and its text, so null ids and repeated ids do
@@ -14,15 +14,21 @@ from pyspark.sql import functions as F
 KEYS = ["k1", "k2"]
 
 
+def keys(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    doc_id, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
+    return [F.xxhash64(F.lit("a"), doc_id, text), F.xxhash64(text, F.lit("b"), doc_id)]
+
+
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``text`` (null: empty) and the row's keys; other columns are left behind."""
-    doc_id, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(
-        doc_id.alias("doc_id"),
-        text.alias("text"),
-        F.xxhash64(F.lit("a"), doc_id, text).alias("k1"),
-        F.xxhash64(text, F.lit("b"), doc_id).alias("k2"),
-    )
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    return docs.select(F.col(id_col).alias("doc_id"), text, *(k.alias(x) for k, x in zip(keys(id_col, text_col), KEYS, strict=True)))
+
+
+def with_keys(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its keys under names that no column has, and these names."""
+    names = ["_" * (1 + max(map(len, docs.columns))) + k for k in KEYS]
+    return docs.withColumns(dict(zip(names, keys(), strict=True))), names
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
