@@ -63,7 +63,8 @@ def test_long_texts_are_cut_into_parts_without_loss(spark, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(4)), pa.array(range(4))], names=["text", "k1", "k2"])
     got = pa.Table.from_batches(list(anchors(iter([batch])))).to_pylist()
     for k, text in enumerate(texts):  # every window is in the block of one of its anchors
-        starts = Counter(s for x in got if x["k1"] == k for s in range(x["lo"], x["hi"] - 19))
+        cells = [(x["at"] >> 16, x["at"] >> 8 & 255, x["at"] & 255) for x in got if x["k1"] == k]
+        starts = Counter(s for pos, back, less in cells for s in range(pos - back, pos - less + 1))
         assert set(starts) == set(range(len(text.encode()) - 19))
 
 
@@ -76,5 +77,12 @@ def test_production_depth(spark):
     assert run(spark, rows, 400, 16) == expected(rows, 400)
 
 
+def test_hot_groups_take_the_counted_way(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_GROUP", 3)
+    rng = random.Random(15)
+    rows = corpus(rng, 60)
+    assert run(spark, rows, 20, 3) == expected(rows, 20)
+
+
 def test_empty_table(spark):
     assert run(spark, [], 400, 16) == []

@@ -2,19 +2,19 @@
 
 Only the first ``threshold`` bytes of a suffix matter, and only whether two suffixes agree in
 them, so each pass deals suffixes into groups by one digit and drops what is alone in its group;
-what is still equal at full depth is exactly the repeated windows.  Three passes take digits from
-coarse to fine:
-
-1. Suffixes that start within ``side ** 2`` positions of an anchor form a block.  The digit is
-   the part that all its windows share.  An anchor is the k-gram of least hash among the ones
-   inside a window, so equal windows have the same anchor at the same place, and a block stands
-   for all the windows that could need it; about two in ``side ** 2`` positions are anchors.
-2. Blocks of ``side`` suffixes inside the blocks that are still open.
-3. Single suffixes, to full depth.
-
-In each pass a block whose windows all have a twin (its whole span occurs twice) is marked, and
-only one member of each distinct span goes on.  No group is gathered in a task: a pass is a
-count with partial sums and joins on the digits.
+what is still equal at full depth is exactly the repeated windows.  Digits go from coarse to fine:
+
+1. Suffixes that start within ``side ** 2`` positions of an anchor form a block; its digit is the
+   part that all its windows share.  An anchor is the k-gram of least hash among those inside a
+   window, so equal windows have the same anchor at the same place; about two in ``side ** 2``
+   positions are anchors, and only these are shuffled.
+2. Blocks whose whole spans are equal are marked; of each distinct span one block goes on if its
+   digit is shared by another span.  These are dealt by the digit and refined inside a task:
+   ``side`` blocks of ``side`` suffixes each, dropped where their shared part is alone,
+3. then single suffixes, to full depth.
+
+A digit of over ``HOT_GROUP`` distinct spans is not gathered in a task: its blocks are salted,
+each task only hashes their windows, and the windows are counted with partial sums.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,13 +33,25 @@ from tickloom.llm.rows import KEYS, identified, runs, utf8
 from tickloom.sources.writers import stored
 
 THRESHOLD, SIDE = 400, 16
+#: Distinct spans of a digit that one task refines: 4096 spans are under 3 MB.
+HOT_GROUP = 4096
 _SLICE = 1 << 20
-_WHERE = [*KEYS, "pos", "lo", "hi"]
-_ANCHORS = "k1 long, k2 long, g long, c long, pos int, lo int, hi int"
+_BLOCKS = "k1 long, k2 long, g long, c long, at long"
+_MARKS = "k1 long, k2 long, lo long, hi long, window long, check long"
+
+
+def _place(pos, first, last):
+    """One number for an anchor and the first and last suffix of its block."""
+    return pos << 16 | (pos - first) << 8 | (pos - last)
+
+
+def _placed(at: np.ndarray) -> tuple[np.ndarray, ...]:
+    pos = at >> 16
+    return pos, pos - (at >> 8 & 255), pos - (at & 255)
 
 
 def _anchors(threshold: int, side: int):
-    """Rows of pass 1: anchor, digit g, whole span [lo, hi) and its hash c."""
+    """Blocks of pass 1: digit g, hash c of the whole span, and place."""
     width = side * side
     k = threshold - width + 1
 
@@ -60,8 +73,9 @@ def _anchors(threshold: int, side: int):
         first = np.maximum(pos - width + 1, at[doc])
         last = np.minimum(pos, at[doc + 1] - threshold)
         g = mixed(rolling.ranges(pos, pos + k), 1)
-        c = mixed(rolling.ranges(first, last + threshold), 2) + mixed((pos - first).astype(np.uint64) * np.uint64(width) + (last - pos + width).astype(np.uint64), 3)
-        return doc, signed(g), signed(c), pos - at[doc], first - at[doc], last + threshold - at[doc]
+        shape = _place(np.zeros_like(pos), first - pos, last - pos).astype(np.uint64)
+        c = mixed(rolling.ranges(first, last + threshold), 2) + mixed(shape, 3)
+        return doc, signed(g), signed(c), pos - at[doc], first - at[doc], last - at[doc]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,77 +91,137 @@ def _anchors(threshold: int, side: int):
                     if j == i + 1:
                         places = [x + start - at[i] for x in places]
                     doc = doc + i
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (k1[doc], k2[doc], g, c)] + [pa.array(x.astype(np.int32)) for x in places],
-                        names=["k1", "k2", "g", "c", "pos", "lo", "hi"],
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k1[doc], k2[doc], g, c, _place(*places))], names=["k1", "k2", "g", "c", "at"])
 
     return rows
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each open block: text[lo : hi] of its row."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the way through a shuffle."""
+    pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         data, at = utf8(batch.column("text"))
-        cells = batch.column("cells")
-        each = np.repeat(np.arange(len(batch)), np.diff(cells.offsets.to_numpy()))
-        flat = cells.flatten()
-        lo, hi = (flat.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("lo", "hi"))
-        raw = data.tobytes()
-        spans = [raw[s:e] for s, e in zip((at[each] + lo).tolist(), (at[each] + hi).tolist(), strict=True)]
-        keys = [batch.column(x).take(pa.array(each)) for x in KEYS]
-        rest = [flat.field(x) for x in ("g", "pos", "lo", "hi")]
-        for s in range(0, len(spans), 4096):
-            part = slice(s, s + 4096)
-            yield pa.RecordBatch.from_arrays(
-                [x[part] for x in (*keys, *rest)] + [pa.array(spans[part], pa.binary())],
-                names=["k1", "k2", "g", "pos", "lo", "hi", "span"],
-            )
-
-
-def _blocks(threshold: int, side: int, step: int, per: int):
-    """Rows of pass 2 (per = side) or 3 (per = 1): blocks of ``per`` suffixes of each open block.
-
-    ``step`` counts the blocks inside an input row, whose first suffix is number ``first``.
-    """
-    width = side * side
+        raw = memoryview(data.tobytes())
+        packed = pa.array([pack(raw[s:e]) for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in batch.schema.names if x != "text"), packed], names=[*(x for x in batch.schema.names if x != "text"), "packed"])
+
+
+def _unpacked(column: pa.Array) -> Iterator[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for x in column:
+        yield unpack(x.as_py())
+
+
+def _contexts(threshold: int):
+    """The bytes of each open block's span."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = utf8(batch.column("span"))
-            for i, j in runs(at, _SLICE):
-                part, base = batch.slice(i, j - i), at[i:j] - at[i]
-                pos, lo, hi, first = (part.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("pos", "lo", "hi", "first"))
-                rolling = Rolling(data[at[i] : at[j]])
-                row = np.repeat(np.arange(j - i), step)
-                number = first[row] + np.tile(np.arange(step) * per, j - i)
-                start = pos[row] - width + 1 + number
-                low = np.maximum(start, lo[row])
-                high = np.minimum(start + per - 1, hi[row] - threshold)
-                keep = low <= high
-                row, number, start, low, high = (x[keep] for x in (row, number, start, low, high))
-                shift = base[row] - lo[row]
-                core = mixed(rolling.ranges(start + per - 1 + shift, start + threshold + shift), 4)
-                span = mixed(rolling.ranges(low + shift, high + threshold + shift), 5) + mixed(((low - start) * side + high - start).astype(np.uint64), 6)
-                took = pa.array(row)
+            cells = batch.column("cells")
+            each = np.repeat(np.arange(len(batch)), np.diff(cells.offsets.to_numpy()))
+            flat = cells.flatten()
+            place = flat.field("at").to_numpy(zero_copy_only=False)
+            _, first, last = _placed(place)
+            texts = list(_unpacked(batch.column("packed")))
+            for s in range(0, len(each), 4096):
+                part = slice(s, s + 4096)
+                spans = [texts[d][lo:hi] for d, lo, hi in zip(each[part].tolist(), first[part].tolist(), (last[part] + threshold).tolist(), strict=True)]
+                took = pa.array(each[part])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(x).take(took) for x in ("k1", "k2", "g")]
-                    + [pa.array(number.astype(np.int32)), pa.array(signed(core)), pa.array(signed(span)), part.column("pos").take(took)]
-                    + [pa.array(x.astype(np.int32)) for x in (low, high + threshold)],
-                    names=["k1", "k2", "g", "number", "core", "c", "pos", "lo", "hi"],
+                    [*(batch.column(x).take(took) for x in KEYS), *(flat.field(x)[part] for x in ("g", "at", "salt")), pa.array(spans, pa.binary())],
+                    names=["k1", "k2", "g", "at", "salt", "span"],
                 )
 
     return rows
 
 
-def _dealt(rows: DataFrame, digit: list[str], name: str) -> tuple[DataFrame, DataFrame]:
-    """One pass: spans that occur twice, and one member of each span that is not alone with its digit."""
-    spans = rows.groupBy(*digit, "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_WHERE)).alias("one"))
-    spans = stored(spans, name)
-    met = spans.groupBy(*digit).agg(F.count(F.lit(1)).alias("kinds"))
-    marked = rows.join(spans.where("n > 1").select(*digit, "c"), [*digit, "c"], "left_semi").select(*KEYS, "lo", "hi")
-    open_ = spans.join(met.where("kinds > 1").select(*digit), digit, "left_semi").select(*digit, "one.*")
-    return marked, open_
+def _twice(digit: np.ndarray) -> np.ndarray:
+    """Which members of ``digit`` are not alone."""
+    order = np.argsort(digit, kind="stable")
+    same = np.diff(digit[order]) == 0
+    out = np.zeros(len(digit), bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
+    return out
+
+
+def _refined(threshold: int, side: int):
+    """Passes 2 and 3 over blocks sorted by g; of a salted group the windows themselves."""
+    width = side * side
+
+    def blocks(rolling, row, number, per, lo, hi, shift, pos, g, salt):
+        start = pos[row] - width + 1 + number
+        keep = (np.maximum(start, lo[row]) <= np.minimum(start + per - 1, hi[row]))
+        row, number, start = row[keep], number[keep], start[keep] + shift[row[keep]]
+        digit = rolling.ranges(start + per - 1, start + threshold)
+        return row, number, mixed(digit, salt) ^ mixed(g[row] + number.astype(np.uint64), salt + 1)
+
+    def of(part: pa.Table) -> pa.RecordBatch:
+        part = part.combine_chunks().to_batches()[0]
+        data, at = utf8(part.column("span"))
+        place, g = part.column("at").to_numpy(), part.column("g").to_numpy().view(np.uint64)
+        hot = part.column("salt").to_numpy() >= 0
+        pos, lo, hi = _placed(place)
+        rolling, shift = Rolling(data), at[:-1] - lo
+        args = (lo, hi, shift, pos, g)
+        row = np.repeat(np.flatnonzero(~hot), side)
+        row, number, digit = blocks(rolling, row, np.tile(np.arange(side) * side, len(row) // side), side, *args, 4)
+        open_ = _twice(digit)
+        row, number = row[open_], number[open_]
+        row = np.concatenate([np.repeat(row, side), np.repeat(np.flatnonzero(hot), width)])
+        number = np.concatenate([(number[:, None] + np.arange(side)).ravel(), np.tile(np.arange(width), int(hot.sum()))])
+        row, number, digit = blocks(rolling, row, number, 1, *args, 6)
+        cold = ~hot[row]
+        start = pos[row] - width + 1 + number
+        found = np.flatnonzero(cold)[_twice(digit[cold])]
+        order = np.lexsort((start[found], row[found]))
+        r, s = row[found][order], start[found][order]
+        new = np.ones(len(r), bool)
+        new[1:] = (np.diff(r) != 0) | (np.diff(s) != 1)
+        heads = np.flatnonzero(new)
+        tails = np.append(heads[1:], len(r)) - 1 if len(r) else heads
+        warm = np.flatnonzero(~cold)
+        owner = pa.array(np.concatenate([r[heads], row[warm]]))
+        low = np.concatenate([s[heads], start[warm]])
+        high = np.concatenate([s[tails], start[warm]]) + threshold
+        key = signed(digit[warm])
+        check = signed(blocks(rolling, row[warm], number[warm], 1, *args, 8)[2])
+        nothing = pa.nulls(len(heads), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [*(part.column(x).take(owner) for x in KEYS), pa.array(low), pa.array(high), *(pa.concat_arrays([nothing, pa.array(x)]) for x in (key, check))],
+            names=["k1", "k2", "lo", "hi", "window", "check"],
+        )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch]) if left is None else pa.concat_tables([left, pa.Table.from_batches([batch])])
+            g = now.column("g").to_numpy()
+            whole = int(np.searchsorted(g, g[-1])) if len(g) else 0
+            left = now.slice(whole)
+            if len(left) > 2 * HOT_GROUP:  # a salted group: its blocks do not need one another
+                whole, left = len(now), None
+            for s, e in _group_runs(g[:whole]):
+                yield of(now.slice(s, e - s))
+        if left is not None and len(left):
+            yield of(left)
+
+    return rows
+
+
+def _group_runs(g: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of whole groups, of about a thousand rows or one group."""
+    cuts = [*np.flatnonzero(np.diff(g, prepend=g[0] ^ 1)).tolist(), len(g)] if len(g) else []
+    start = 0
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b - start >= 1024:
+            if a > start and b - start > 2048:
+                yield start, a
+                start = a
+            else:
+                yield start, b
+                start = b
+    if len(g) > start:
+        yield start, len(g)
 
 
 def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, side: int = SIDE) -> DataFrame:
@@ -155,40 +229,41 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, side: int = SIDE
 
     ``docs`` comes from ``identified``.  Ranges overlap; their union in a row is exact.
     """
-    if threshold < side * side:
-        raise ValueError("threshold must be at least side ** 2")
-    anchors = stored(docs.select(*KEYS, "text").mapInArrow(_anchors(threshold, side), _ANCHORS), "suffix-anchors")
-    shared = anchors.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
-    anchors = stored(anchors.join(shared, "g", "left_semi"), "suffix-shared")
-    marked, open_ = _dealt(anchors, ["g"], "suffix-spans")
-    out = marked
-
-    cells = open_.groupBy(*KEYS).agg(F.collect_list(F.struct("g", "pos", "lo", "hi")).alias("cells"))
-    spans = docs.select(*KEYS, "text").join(cells, KEYS).mapInArrow(_contexts, "k1 long, k2 long, g long, pos int, lo int, hi int, span binary")
-    spans = stored(spans, "suffix-contexts")
-
-    schema = "k1 long, k2 long, g long, number int, core long, c long, pos int, lo int, hi int"
-    middle = spans.withColumn("first", F.lit(0)).mapInArrow(_blocks(threshold, side, side, side), schema)
-    middle = stored(middle, "suffix-blocks")
-    marked, open_ = _dealt(middle, ["g", "number", "core"], "suffix-blocks-spans")
-    out = out.unionByName(marked)
-
-    open_ = open_.select(*KEYS, "g", "pos", F.col("number").alias("first")).distinct()
-    fine = spans.join(open_, [*KEYS, "g", "pos"]).mapInArrow(_blocks(threshold, side, side, 1), schema)
-    fine = stored(fine, "suffix-windows")
-    twice = fine.groupBy("g", "number", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    marked = fine.join(twice.select("g", "number", "core"), ["g", "number", "core"], "left_semi")
-    return out.unionByName(marked.select(*KEYS, "lo", "hi"))
+    if threshold < side * side or side > 16:
+        raise ValueError("side must be at most 16 and threshold at least side ** 2")
+    texts = docs.select(*KEYS, "text")
+    blocks = texts.mapInArrow(_anchors(threshold, side), _BLOCKS)
+    shared = blocks.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
+    blocks = stored(blocks.join(shared, "g", "left_semi"), "suffix-blocks")
+
+    spans = blocks.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEYS, "at")).alias("one"))
+    spans = stored(spans, "suffix-spans")
+    equal = blocks.join(spans.where("n > 1").select("g", "c"), ["g", "c"], "left_semi")
+    first, last = F.expr("(at >> 16) - (at >> 8 & 255)"), F.expr("(at >> 16) - (at & 255)")
+    equal = equal.select(*KEYS, first.alias("lo"), (last + threshold).alias("hi"))
+
+    kinds = spans.groupBy("g").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    salt = F.when(F.col("kinds") > HOT_GROUP, F.expr("pmod(one.k1, 1024)")).otherwise(F.lit(-1)).cast("int")
+    open_ = spans.join(kinds, "g").select("g", "one.*", salt.alias("salt"))
+    cells = open_.groupBy(*KEYS).agg(F.collect_set(F.struct("g", "at", "salt")).alias("cells"))
+    packed = texts.mapInArrow(_packed, "k1 long, k2 long, packed binary")
+    contexts = packed.join(cells, KEYS).mapInArrow(_contexts(threshold), "k1 long, k2 long, g long, at long, salt int, span binary")
+    found = contexts.repartition("g", "salt").sortWithinPartitions("g", "salt").mapInArrow(_refined(threshold, side), _MARKS)
+    found = stored(found, "suffix-windows")
+
+    hot = found.where("window is not null")
+    twice = hot.groupBy("window", "check").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window", "check")
+    hot = hot.join(twice, ["window", "check"], "left_semi")
+    cold = found.where("window is null")
+    return equal.unionByName(cold.select(*KEYS, "lo", "hi")).unionByName(hot.select(*KEYS, "lo", "hi"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, at = utf8(batch.column("text"))
-        raw = data.tobytes()
         spans = batch.column("spans").to_pylist()
-        kept, removed, merged = [], [], []
-        for i, cells in enumerate(spans):
-            text, left, last, out = raw[at[i] : at[i + 1]], [], 0, []
+        sizes, kept, removed, merged = [], [], [], []
+        for text, cells in zip(_unpacked(batch.column("packed")), spans, strict=True):
+            left, last, out = [], 0, []
             for lo, hi in sorted((x["lo"], x["hi"]) for x in cells or ()):
                 if out and lo <= out[-1][1]:
                     out[-1][1] = max(out[-1][1], hi)
@@ -198,13 +273,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 left.append(text[last:lo])
                 last = hi
             left.append(text[last:])
+            sizes.append(len(text))
             kept.append(b"".join(left))
             removed.append(sum(hi - lo for lo, hi in out))
             merged.append([{"start": lo, "end": hi} for lo, hi in out])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
-                pa.array(np.diff(at)),
+                pa.array(sizes, pa.int64()),
                 pa.array(removed, pa.int64()),
                 pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                 pa.array(kept, pa.binary()),
@@ -223,9 +299,10 @@ def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD, side: int =
     Other columns are not read.  Cuts are by byte and may split a code point, so ``kept`` is binary.
     """
     docs = identified(documents)
-    marks = repeated_spans(docs, threshold, side).groupBy(*KEYS).agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.join(marks, KEYS, "left").select("doc_id", "text", "spans").mapInArrow(
+    marks = repeated_spans(docs, threshold, side).groupBy(*KEYS).agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    packed = docs.mapInArrow(_packed, f"doc_id {kind}, k1 long, k2 long, packed binary")
+    return packed.join(marks, KEYS, "left").select("doc_id", "packed", "spans").mapInArrow(
         _cut,
         f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary, kept_sha256 string",
     )
