@@ -84,5 +84,12 @@ def test_hot_groups_take_the_counted_way(spark, monkeypatch):
     assert run(spark, rows, 20, 3) == expected(rows, 20)
 
 
+def test_blocks_one_at_a_time(spark):
+    rng = random.Random(21)
+    shared = "".join(rng.choice("abcdefgh") for _ in range(30))  # thousands of spans with one digit
+    rows = [(i, "".join(rng.choice("xyz") for _ in range(9)) + shared + "".join(rng.choice("xyz") for _ in range(9)), "", "") for i in range(6000)]
+    assert run(spark, rows, 20, 3) == expected(rows, 20)
+
+
 def test_empty_table(spark):
     assert run(spark, [], 400, 16) == []

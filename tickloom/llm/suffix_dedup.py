@@ -33,8 +33,8 @@ from tickloom.llm.rows import KEYS, identified, runs, utf8
 from tickloom.sources.writers import stored
 
 THRESHOLD, SIDE = 400, 16
-#: Distinct spans of a digit that one task refines: 4096 spans are under 3 MB.
-HOT_GROUP = 4096
+#: Distinct spans of a digit that one task refines: 43 MB, and windows of one block of each at a time.
+HOT_GROUP = 65_536
 _SLICE = 1 << 20
 _BLOCKS = "k1 long, k2 long, g long, c long, at long"
 _MARKS = "k1 long, k2 long, lo long, hi long, window long, check long"
@@ -165,26 +165,25 @@ def _refined(threshold: int, side: int):
         args = (lo, hi, shift, pos, g)
         row = np.repeat(np.flatnonzero(~hot), side)
         row, number, digit = blocks(rolling, row, np.tile(np.arange(side) * side, len(row) // side), side, *args, 4)
-        open_ = _twice(digit)
-        row, number = row[open_], number[open_]
-        row = np.concatenate([np.repeat(row, side), np.repeat(np.flatnonzero(hot), width)])
-        number = np.concatenate([(number[:, None] + np.arange(side)).ravel(), np.tile(np.arange(width), int(hot.sum()))])
-        row, number, digit = blocks(rolling, row, number, 1, *args, 6)
-        cold = ~hot[row]
+        open_ = np.flatnonzero(_twice(digit))
+        r, s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for now in [open_] if len(part) <= 4096 else [open_[number[open_] == n * side] for n in range(side)]:
+            each, fine, digit = blocks(rolling, np.repeat(row[now], side), (number[now][:, None] + np.arange(side)).ravel(), 1, *args, 6)
+            met = _twice(digit)
+            r.append(each[met])
+            s.append(pos[each[met]] - width + 1 + fine[met])
+        r, s = np.concatenate(r), np.concatenate(s)
+        order = np.lexsort((s, r))
+        r, s = r[order], s[order]
+        row, number, digit = blocks(rolling, np.repeat(np.flatnonzero(hot), width), np.tile(np.arange(width), int(hot.sum())), 1, *args, 6)
         start = pos[row] - width + 1 + number
-        found = np.flatnonzero(cold)[_twice(digit[cold])]
-        order = np.lexsort((start[found], row[found]))
-        r, s = row[found][order], start[found][order]
         new = np.ones(len(r), bool)
         new[1:] = (np.diff(r) != 0) | (np.diff(s) != 1)
         heads = np.flatnonzero(new)
         tails = np.append(heads[1:], len(r)) - 1 if len(r) else heads
-        warm = np.flatnonzero(~cold)
-        owner = pa.array(np.concatenate([r[heads], row[warm]]))
-        low = np.concatenate([s[heads], start[warm]])
-        high = np.concatenate([s[tails], start[warm]]) + threshold
-        key = signed(digit[warm])
-        check = signed(blocks(rolling, row[warm], number[warm], 1, *args, 8)[2])
+        owner = pa.array(np.concatenate([r[heads], row]))
+        low, high = np.concatenate([s[heads], start]), np.concatenate([s[tails], start]) + threshold
+        key, check = signed(digit), signed(blocks(rolling, row, number, 1, *args, 8)[2])
         nothing = pa.nulls(len(heads), pa.int64())
         return pa.RecordBatch.from_arrays(
             [*(part.column(x).take(owner) for x in KEYS), pa.array(low), pa.array(high), *(pa.concat_arrays([nothing, pa.array(x)]) for x in (key, check))],
@@ -198,7 +197,7 @@ def _refined(threshold: int, side: int):
             g = now.column("g").to_numpy()
             whole = int(np.searchsorted(g, g[-1])) if len(g) else 0
             left = now.slice(whole)
-            if len(left) > 2 * HOT_GROUP:  # a salted group: its blocks do not need one another
+            if len(left) and left.column("salt")[0].as_py() >= 0:  # blocks of a salted group do not need one another
                 whole, left = len(now), None
             for s, e in _group_runs(g[:whole]):
                 yield of(now.slice(s, e - s))
