@@ -10,6 +10,7 @@ from helpers import NS, bars, candidate, candidates, ns, tape
 
 from tickloom import schema as S
 from tickloom.config import ConfigError, ExecutionConfig, StudyConfig, TapeConfig
+from tickloom.operators import labels as labels_operator
 from tickloom.operators.labels import first_barrier_labels
 from tickloom.operators.reports import (
     diagnose,
@@ -96,10 +97,11 @@ def brute(c, trades, cfg):
 
 
 @pytest.mark.parametrize(
-    ("bucket", "latency", "wide", "small"),
-    [(60, 0, False, False), (7, 13, True, False), (900, 1, False, True), (86_400, 0, False, True)],
+    ("bucket", "latency", "wide", "probed"),
+    [(60, 0, False, 0), (7, 13, True, 0), (900, 1, False, 500_000), (86_400, 0, False, 500_000)],
 )
-def test_labels_against_a_walk(spark, bucket, latency, wide, small):
+def test_labels_against_a_walk(spark, monkeypatch, bucket, latency, wide, probed):
+    monkeypatch.setattr(labels_operator, "MOST_PROBED", probed)
     rng = random.Random(bucket)
     start = ns("2026-04-06T10:00:00Z")
     price, trades = 100.0, []
@@ -122,7 +124,7 @@ def test_labels_against_a_walk(spark, bucket, latency, wide, small):
     cfg = ExecutionConfig(entry_latency_seconds=latency)
     df = tape(spark, trades)
     out = first_barrier_labels(
-        candidates(spark, *rows, rows[0]), df.repartition(5), cfg, bucket, wide, small
+        candidates(spark, *rows, rows[0]), df.repartition(5), cfg, bucket, wide
     ).collect()
     assert len(out) == 81
     got = {
@@ -190,6 +192,11 @@ def test_jobs_end_to_end(spark, tmp_path):
     cfg = TapeConfig()
     run_candidate_job(spark, str(tmp_path / "tape"), str(tmp_path / "cands"), cfg, GAP)
     run_label_job(spark, str(tmp_path / "tape"), str(tmp_path / "cands"), str(tmp_path / "labels"), cfg, FREE)
+    foreign = TapeConfig(session_prefix="CME_")
+    run_label_job(spark, str(tmp_path / "tape"), str(tmp_path / "cands"), str(tmp_path / "more"), foreign, FREE, str(tmp_path / "reports"))
+    assert spark.read.parquet(str(tmp_path / "more")).collect() == spark.read.parquet(str(tmp_path / "labels")).collect()
+    gate = spark.read.parquet(str(tmp_path / "reports/label_gate_report")).collect()
+    assert [(r["exit_reason"], r["labels"]) for r in gate] == [("MAX_HOLD", 1)]
     (row,) = spark.read.parquet(str(tmp_path / "labels")).collect()
     assert row["symbol"] == "ESM6"
     assert row["exit_reason"] == "MAX_HOLD" and row["event_count"] == 2 and row["exit_trade_price"] == 99.0

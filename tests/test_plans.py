@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 import check
 from tickloom import schema as S
+from tickloom.checks.queries import QUERIES
 from tickloom.config import ExecutionConfig, TapeConfig
 from tickloom.operators.audit import audit_cells
 from tickloom.operators.bars import ohlcv_bars, rollup_bars
@@ -80,11 +81,11 @@ def test_counted_candidates_are_broadcast(spark, stored_tape):
     )
     tape = readers.read_tape(spark, stored_tape)
     cfg = ExecutionConfig()
-    text = plan(first_barrier_labels(cands, tape, cfg, small_tasks=True))
+    text = plan(first_barrier_labels(cands, tape, cfg))
     assert "BroadcastHashJoin" in text and "BroadcastNestedLoopJoin" not in text
     assert "CartesianProduct" not in text and "Python" not in text
     day = tape.filter(F.col("trading_date").between("2026-04-06", "2026-04-07"))
-    text = plan(first_barrier_labels(cands, day, cfg, small_tasks=True))
+    text = plan(first_barrier_labels(cands, day, cfg))
     assert re.search(r"PartitionFilters: \[[^]]*trading_date", text)
 
 
@@ -123,9 +124,9 @@ def test_entry_has_rows(spark):
     assert entry_points.entry(spark).count() == 917
 
 
-def test_every_query_has_sql_but_the_schema():
-    missing = set(entry_points.queries()) - set(entry_points.oracle_sql())
-    assert missing == {"schema_report"}
+def test_every_query_of_the_tape_has_sql():
+    missing = set(QUERIES) - set(entry_points.oracle_sql())
+    assert not missing
 
 
 @pytest.mark.parametrize(

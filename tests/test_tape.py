@@ -1,6 +1,7 @@
 """Raw rows to tape: quality rules, policies, writing and reading."""
 
 import random
+from decimal import Decimal
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -21,7 +22,7 @@ from tickloom.operators.audit import (
 from tickloom.operators.ordering import ordering_report
 from tickloom.operators.quality import quality_flags, quarantine_rows
 from tickloom.operators.tape import require_valid, tape_totals, validate_tape
-from tickloom.plans.jobs import audit_mbo, build_tape, run_tape_job
+from tickloom.plans.jobs import audit_mbo, build_tape, run_audit_job, run_tape_job, run_validate_job
 from tickloom.sources import readers, writers
 
 CFG = TapeConfig(symbol_filters=("ESM6",), invalid_row_policy="quarantine", overwrite=True)
@@ -257,7 +258,7 @@ def test_foreign_tape_with_nanoseconds(spark, tmp_path):
 
 
 def test_schema_checks(spark, tmp_path):
-    with pytest.raises(SchemaError, match="duplicate columns: a; missing required columns: c"):
+    with pytest.raises(SchemaError, match="input has a twice, no c"):
         S.require_columns(["a", "a", "b"], ["a", "c"])
     spark.range(1).write.parquet(str(tmp_path / "x"))
     with pytest.raises(SchemaError):
@@ -298,15 +299,53 @@ def test_audit_reports(spark):
 
 
 def test_config():
-    cfg = TapeConfig.from_mapping({"tick_size": "0.25", "symbol_filters": ["A"]})
-    assert str(cfg.tick_size) == "0.25" and cfg.symbol_filters == ("A",)
     for bad in (
         {"invalid_row_policy": "drop"},
         {"exchange_timezone": "Mars/Base"},
-        {"tick_size": "0"},
+        {"tick_size": Decimal(0)},
         {"session_start": "25:00:00"},
         {"compression": "zip"},
-        {"no_such_key": 1},
+        {"quarantine_sample_limit": -1},
     ):
         with pytest.raises(ConfigError):
-            TapeConfig.from_mapping(bad)
+            TapeConfig(**bad)
+
+
+def test_old_tape_survives_a_refused_one(spark, tmp_path):
+    path, cfg = str(tmp_path / "t"), TapeConfig(overwrite=True)
+    tape = build_tape(mbo(spark, ELEVEN), CFG)
+    writers.write_tape(tape, path, cfg)
+
+    def refuse(totals):
+        raise OutputError(f"{totals['row_count']} rows")
+
+    for part, check, said in ((tape.filter("size > 1000"), None, "no trade rows"), (tape, refuse, "4 rows")):
+        with pytest.raises(OutputError, match=said):
+            writers.write_tape(part, path, cfg, check)
+        assert readers.read_tape(spark, path).count() == 4
+        assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    writers.write_tape(tape.limit(2), path, cfg)
+    assert readers.read_tape(spark, path).count() == 2
+
+
+def test_audit_and_validate_jobs(spark, tmp_path):
+    source, tape, reports = (str(tmp_path / x) for x in ("raw", "tape", "reports"))
+    mbo(spark, ELEVEN).withColumn("flags", F.lit(0)).drop("source_row_number").write.parquet(source)
+    run_audit_job(spark, source, reports, CFG)
+    seen = {r["column_name"] for r in spark.read.parquet(f"{reports}/schema_report").collect()}
+    assert "flags" in seen
+    build_tape(readers.read_mbo(spark, source), CFG).transform(lambda df: writers.write_tape(df, tape, CFG) and df)
+    assert run_validate_job(spark, tape, reports)["row_count"] == 4
+    writers.write_tape(readers.read_tape(spark, tape).limit(3), f"{tape}2", CFG)
+    with pytest.raises(OutputError):
+        run_validate_job(spark, f"{tape}2", reports)
+
+
+def test_shared_folder_is_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host:7077"))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared or spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        assert not writers.scratch_path(spark, "x").startswith("/tmp/spark-")
+    else:
+        with pytest.raises(OutputError, match="spark.checkpoint.dir"):
+            writers.scratch_path(spark, "x")

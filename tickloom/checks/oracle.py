@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 
+from tickloom import schema as S
+
 _CTE: dict[str, str] = {}
 
 
@@ -822,7 +824,21 @@ _QUARANTINE = (
     "instrument_id, symbol, action, side, round(price, 6) AS price, size FROM flags WHERE scope AND NOT valid"
 )
 _FINAL["quarantine_rows"] = _QUARANTINE
-_FINAL["quarantine_roundtrip"] = _QUARANTINE + " ORDER BY source_row_number LIMIT 100"
+_FINAL["quarantine_roundtrip"] = _QUARANTINE
+_FINAL["schema_report"] = """
+SELECT position::INTEGER AS position, c.column_name, column_type, c.column_name IN (SELECT n FROM wanted) AS required,
+  column_type IS NOT NULL AS present, false AS duplicated, false AS input_valid, nulls
+FROM (
+  SELECT row_number() OVER () - 1 AS position, column_name,
+    CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS column_type
+  FROM (DESCRIBE SELECT * FROM events)
+  UNION ALL
+  SELECT (SELECT count(*) FROM (DESCRIBE SELECT * FROM events)) + k, n, NULL FROM wanted
+  WHERE n NOT IN (SELECT column_name FROM (DESCRIBE SELECT * FROM events))
+) c LEFT JOIN (
+  UNPIVOT (SELECT count(*) - count(COLUMNS(*)) FROM events) ON COLUMNS(*) INTO NAME column_name VALUE nulls
+) USING (column_name)
+""".replace("wanted", "(SELECT unnest(%s) AS n, unnest(range(%d)) AS k)" % (list(S.MBO_REQUIRED), len(S.MBO_REQUIRED)))
 _FINAL["csv_roundtrip"] = _FINAL["bar_study"]
 _FINAL["normalize_trades"] = (
     "SELECT symbol, ts_event AS ts_event_ns, round(price, 6) AS price, size, sequence, source_row_number "

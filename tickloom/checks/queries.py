@@ -128,8 +128,7 @@ def tape_roundtrip(spark, d):
 @query
 def quarantine_roundtrip(spark, d):
     path = writers.scratch_path(spark, "quarantine")
-    cfg = TapeConfig(invalid_row_policy="quarantine", quarantine_sample_limit=100)
-    writers.write_quarantine(Q.quarantine_rows(_flags(spark, d)), path, cfg)
+    writers.write_quarantine(Q.quarantine_rows(_flags(spark, d)), path, DIRTY)
     return plain(spark.read.schema(S.QUARANTINE).parquet(path))
 
 
@@ -151,7 +150,11 @@ def scan_row_numbers(spark, d):
 
 @query
 def schema_report(spark, d):
-    return plain(S.schema_report(read_events(spark, d)))
+    """Columns of the events against the raw format's, with the nulls in each."""
+    events = read_events(spark, d)
+    nulls = events.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in events.columns))
+    nulls = nulls.unpivot([], events.columns, "column_name", "nulls")
+    return plain(S.schema_report(events).join(nulls, "column_name", "left"))
 
 
 @query
@@ -524,30 +527,32 @@ def candidate_roundtrip(spark, d):
 # Labels ---------------------------------------------------------------------------------------
 
 
-def _stored_tape(spark, d):
-    """Labels and reports start from a stored tape, as the jobs do."""
-    return writers.stored(tape_view(spark, d), "tape")
+def _tape_path(spark, d):
+    """Labels and reports start from a tape on disk, as the jobs do."""
+    path = writers.scratch_path(spark, "tape")
+    writers.write_tape(tape_view(spark, d), path, CLEAN)
+    return path
 
 
 def _candidates(tape):
     return writers.stored(J.technical_candidates(tape, TECH), "candidates")
 
 
-def _labels(tape, cfg=FILLS):
-    return L.first_barrier_labels(_candidates(tape), tape, cfg)
+def _labels(spark, path, cfg=FILLS):
+    return J.label_tape(spark, path, _candidates(readers.read_tape(spark, path)), cfg)
 
 
 @query
 def first_barrier_labels(spark, d):
-    return plain(_labels(_stored_tape(spark, d)))
+    return plain(_labels(spark, _tape_path(spark, d)))
 
 
 @query
 def label_invalids(spark, d):
     """Candidates with side, stop or target altered by turns."""
-    tape = _stored_tape(spark, d)
+    path = _tape_path(spark, d)
     turn = F.unix_micros("entry_timestamp") / 1_800_000_000 % 4
-    made = _candidates(tape).withColumn("_turn", turn.cast("int"))
+    made = _candidates(readers.read_tape(spark, path)).withColumn("_turn", turn.cast("int"))
     stop, target = F.col("stop_price"), F.col("target_1")
     made = made.withColumns(
         {
@@ -557,14 +562,14 @@ def label_invalids(spark, d):
             .otherwise(stop),
         }
     ).drop("_turn")
-    out = L.first_barrier_labels(made, tape, FILLS)
+    out = J.label_tape(spark, path, made, FILLS)
     return plain(_label_core(out))
 
 
 @query
 def label_no_future(spark, d):
     """Latency beyond the holding time leaves every window empty."""
-    return plain(_label_core(_labels(_stored_tape(spark, d), LATE)))
+    return plain(_label_core(_labels(spark, _tape_path(spark, d), LATE)))
 
 
 def _label_core(labels):
@@ -586,32 +591,33 @@ def _label_core(labels):
 
 @query
 def label_gate_report(spark, d):
-    return R.label_gate_report(_labels(_stored_tape(spark, d)))
+    return R.label_gate_report(_labels(spark, _tape_path(spark, d)))
 
 
 @query
 def label_summary(spark, d):
-    tape = _stored_tape(spark, d)
-    return R.label_summary(_labels(tape), B.ohlcv_bars(tape, 1800))
+    path = _tape_path(spark, d)
+    tape = readers.read_tape(spark, path)
+    return R.label_summary(_labels(spark, path), B.ohlcv_bars(tape, 1800))
 
 
 @query
 def label_counts(spark, d):
-    return R.label_counts(_labels(_stored_tape(spark, d)))
+    return R.label_counts(_labels(spark, _tape_path(spark, d)))
 
 
 @query
 def net_r_buckets(spark, d):
-    return R.net_r_buckets(_labels(_stored_tape(spark, d)))
+    return R.net_r_buckets(_labels(spark, _tape_path(spark, d)))
 
 
 @query
 def label_diagnosis(spark, d):
     """Diagnosis of labels that went through the stored form and the report reader."""
     path = writers.scratch_path(spark, "labels")
-    tape = _stored_tape(spark, d)
-    writers.write_table(_labels(tape), path, CLEAN)
-    bars = B.ohlcv_bars(tape, 1800)
+    tape = _tape_path(spark, d)
+    writers.write_table(_labels(spark, tape), path, CLEAN)
+    bars = B.ohlcv_bars(readers.read_tape(spark, tape), 1800)
     out = R.diagnose(R.label_summary(readers.read_labels(spark, path), bars))
     return out.select("candidate_count", F.array_join("diagnosis", "; ").alias("diagnosis"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Digits that the packed key gives to its parts; together the 38 of a DECIMAL.
@@ -39,3 +39,9 @@ def guard_nulls(value: Column, *required: Column) -> Column:
     for col in required[1:]:
         missing = missing | col.isNull()
     return F.when(missing, F.raise_error(F.lit("null in a required column"))).otherwise(value)
+
+
+def needs_wide_keys(tape: DataFrame) -> bool:
+    """Whether a sequence or source row of the tape is beyond the packed key; reads two columns."""
+    most = tape.agg(F.max("sequence").alias("s"), F.max("source_row_number").alias("r")).first()
+    return (most["s"] or 0) >= 10**SEQUENCE_DIGITS or (most["r"] or 0) >= 10**ROW_DIGITS

@@ -12,6 +12,7 @@ from tickloom.config import ExecutionConfig
 from tickloom.functions.clock import NS, bucket_start, ns_to_ts
 from tickloom.functions.ordering_keys import causal_key, guard_nulls
 from tickloom.functions.prices import barrier_geometry, dec
+from tickloom.sources.writers import stored
 
 # What decides a label; equal candidates share one search.
 _TASK = (
@@ -60,6 +61,10 @@ def with_windows(candidates: DataFrame, cfg: ExecutionConfig) -> DataFrame:
     )
 
 
+#: Distinct (symbol, session, minute) keys that are broadcast: about 40 MB of short texts.
+MOST_PROBED = 500_000
+
+
 def _tasks(windows: DataFrame) -> DataFrame:
     return windows.filter(F.col("verdict").isNull()).select(*_TASK).distinct()
 
@@ -69,7 +74,6 @@ def barrier_events(
     tape: DataFrame,
     bucket_seconds: int = 60,
     wide_keys: bool = False,
-    small_tasks: bool = False,
 ) -> DataFrame:
     """First hit, last trade and trade count in each task's window.
 
@@ -78,20 +82,15 @@ def barrier_events(
     1. Trades are aggregated to short buckets (price range, count, last price). Each task scans
        the buckets strictly inside its window for the first one whose range touches a barrier.
     2. Only the trades of that bucket, of the last one with trades and of the two at the window's
-       edges are joined, through an equi-join on (symbol, session, bucket).
-
-    ``small_tasks`` says the caller has counted the tasks and they fit a broadcast; the tape is
-    then not shuffled in pass 2.    """
-    hint = F.broadcast if small_tasks else (lambda df: df)
+       edges are joined, through an equi-join on (symbol, session, bucket). The distinct buckets
+       are counted; up to ``MOST_PROBED`` of them are broadcast to drop other trades before any
+       exchange, beyond that the equi-join alone does it.
+    """
     join_on = ["symbol", "cme_session_id"]
     cols = ["symbol", "session_id", "ts_event_ns", "sequence", "source_row_number", "price"]
     keys = [*join_on, *(c for c in _TASK if c not in join_on)]
     trades = tape.select(*cols).withColumnRenamed("session_id", "cme_session_id")
     trades = trades.withColumn("bucket", bucket_start(F.col("ts_event_ns"), bucket_seconds))
-    if small_tasks:
-        # Sessions that no task asks for are dropped before the aggregate.
-        trades = trades.join(F.broadcast(tasks.select(*join_on).distinct()), join_on, "left_semi")
-
     needed = [F.col(c) for c in ("price", "sequence", "source_row_number")]
     broken = needed[0].isNull() | needed[1].isNull() | needed[2].isNull()
     buckets = (
@@ -136,6 +135,10 @@ def barrier_events(
         "last_bucket",
         F.explode(wanted).alias("bucket"),
     )
+    probes = stored(probes, "probes")
+    probed = probes.select(*join_on, "bucket").distinct()
+    if probed.count() <= MOST_PROBED:
+        trades = trades.join(F.broadcast(probed), [*join_on, "bucket"], "left_semi")
     order = causal_key(
         F.col("ts_event_ns") - F.col("start_ns"),
         F.col("sequence"),
@@ -145,7 +148,7 @@ def barrier_events(
     edge = F.col("bucket").isin(F.col("first_bucket"), F.col("last_bucket"))
     hit = _hit(side, F.col("price"), F.col("price"), stop, target)
     return (
-        trades.join(hint(probes), [*join_on, "bucket"])
+        trades.join(probes, [*join_on, "bucket"])
         .filter(F.col("ts_event_ns").between(F.col("start_ns"), F.col("end_ns")))
         .select(
             *keys,
@@ -196,7 +199,6 @@ def first_barrier_labels(
     cfg: ExecutionConfig,
     bucket_seconds: int = 60,
     wide_keys: bool = False,
-    small_tasks: bool = False,
 ) -> DataFrame:
     """One label per candidate: exit, fills, points and R after costs.
 
@@ -204,9 +206,7 @@ def first_barrier_labels(
     ``barrier_events`` for how the trades are searched.
     """
     windows = with_windows(candidates, cfg)
-    events = barrier_events(
-        _tasks(windows), tape, bucket_seconds, wide_keys, small_tasks
-    )
+    events = barrier_events(_tasks(windows), tape, bucket_seconds, wide_keys)
     joined = windows.join(events, list(_TASK), "left")
     side, verdict = F.col("entry_side"), F.col("verdict")
     entry, stop, target = dec(F.col("entry_price")), dec(F.col("stop_price")), dec(F.col("target_price"))

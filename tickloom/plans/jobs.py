@@ -14,6 +14,7 @@ from tickloom.config import (
     TapeConfig,
 )
 from tickloom.functions.clock import local_date
+from tickloom.functions.ordering_keys import needs_wide_keys
 from tickloom.operators import audit as A
 from tickloom.operators.bars import candles, ohlcv_bars, rollup_bars
 from tickloom.operators.candidates import failed_gap_candidates, indicator_candidates
@@ -32,19 +33,31 @@ from tickloom.operators.study import (
     study_bars,
     trade_summary,
 )
-from tickloom.operators.tape import require_valid, validate_tape
+from tickloom.operators.reports import label_counts, label_gate_report
+from tickloom.operators.tape import require_valid, tape_totals, validate_tape
 from tickloom.sources.readers import read_candidates, read_mbo, read_tape
 from tickloom.sources.writers import stored, write_quarantine, write_table, write_tape
 
-# Candidates up to this many are broadcast; they are counted first.
-BROADCAST_CANDIDATES = 200_000
 # Up to this many symbols are named in the tape's partition filter.
 PRUNED_SYMBOLS = 1_000
 
 
-def audit_mbo(mbo: DataFrame, cfg: TapeConfig) -> dict[str, DataFrame]:
+def _kept(report: DataFrame) -> DataFrame:
+    """A one-row report, computed once."""
+    return report.sparkSession.createDataFrame([report.first()], report.schema)
+
+
+def _write_reports(audit: dict[str, DataFrame], reports: str, cfg: TapeConfig) -> None:
+    for name, df in audit.items():
+        if name != "cells":
+            write_table(df, f"{reports}/{name}", cfg)
+
+
+def audit_mbo(mbo: DataFrame, cfg: TapeConfig, raw: DataFrame | None = None) -> dict[str, DataFrame]:
     """All reports on raw rows. Two passes: one grouped aggregate, one ordering audit.
 
+    ``raw`` is the input before its columns were chosen, for the schema report. The ordering
+    report is one row; it is computed here and kept, as the policy and the report both need it.
     The grouped table is persisted because every report reads it; it is small, and a lost
     executor only means it is computed again.
     """
@@ -53,7 +66,7 @@ def audit_mbo(mbo: DataFrame, cfg: TapeConfig) -> dict[str, DataFrame]:
     coverage = A.session_coverage(cells)
     return {
         "cells": cells,
-        "schema_report": S.schema_report(mbo, (*S.MBO_SCANNED, "source_row_number")),
+        "schema_report": S.schema_report(mbo if raw is None else raw),
         "null_counts": A.null_counts(cells),
         "action_side_report": A.action_side_report(cells),
         "timestamp_report": A.timestamp_report(cells),
@@ -62,7 +75,7 @@ def audit_mbo(mbo: DataFrame, cfg: TapeConfig) -> dict[str, DataFrame]:
         "trade_volume_report": A.volume_report(cells),
         "rows_per_symbol": A.rows_per_symbol(cells),
         "reason_counts": A.invalid_counts(cells),
-        "duplicate_report": ordering_report(flags),
+        "duplicate_report": _kept(ordering_report(flags)),
     }
 
 
@@ -71,35 +84,56 @@ def build_tape(mbo: DataFrame, cfg: TapeConfig) -> DataFrame:
     return canonical_trades(quality_flags(mbo, cfg), cfg)
 
 
+def run_audit_job(spark: SparkSession, source: str, reports: str, cfg: TapeConfig) -> None:
+    """All reports on raw rows, without a tape."""
+    audit = audit_mbo(read_mbo(spark, source), cfg, spark.read.parquet(source))
+    _write_reports(audit, reports, cfg)
+    audit["cells"].unpersist()
+
+
 def run_tape_job(
     spark: SparkSession, source: str, target: str, reports: str, cfg: TapeConfig
 ) -> dict:
-    """Audit, judge, write the tape and its reports, and reconcile what was written."""
+    """Audit, judge, write the tape and its reports.
+
+    What was written is reconciled with the audit before it takes the old tape's place. Returns
+    the reconciliation, with the rejected rows (``quarantine``) under that policy.
+    """
     mbo = read_mbo(spark, source)
-    audit = audit_mbo(mbo, cfg)
+    audit = audit_mbo(mbo, cfg, spark.read.parquet(source))
     enforce_policy(audit["reason_counts"], audit["duplicate_report"], cfg)
     flags = quality_flags(mbo, cfg)
-    written = write_tape(canonical_trades(flags, cfg), target, cfg)
+    result: dict = {}
+
+    def reconcile(written: dict[str, int]) -> None:
+        totals = spark.createDataFrame(
+            [tuple(written[k] for k in ("row_count", "sum_size", "sum_signed_volume"))],
+            "row_count bigint, sum_size bigint, sum_signed_volume bigint",
+        )
+        result.update(require_valid(validate_tape(totals, audit["trade_volume_report"])))
+
+    write_tape(canonical_trades(flags, cfg), target, cfg, reconcile)
     if cfg.invalid_row_policy == "quarantine":
-        write_quarantine(quarantine_rows(flags), f"{reports}/quarantine_rows", cfg)
-    totals = spark.createDataFrame(
-        [tuple(written[k] for k in ("row_count", "sum_size", "sum_signed_volume"))],
-        "row_count bigint, sum_size bigint, sum_signed_volume bigint",
-    )
-    result = require_valid(validate_tape(totals, audit["trade_volume_report"]))
-    for name, df in audit.items():
-        if name != "cells":
-            write_table(df, f"{reports}/{name}", cfg)
+        rejected = quarantine_rows(flags)
+        result["quarantine"] = write_quarantine(rejected, f"{reports}/quarantine_rows", cfg)
+    _write_reports(audit, reports, cfg)
     audit["cells"].unpersist()
     return result
 
 
+def run_validate_job(spark: SparkSession, tape_path: str, reports: str) -> dict:
+    """Reconcile a stored tape with its stored volume report; raises where they differ."""
+    totals = tape_totals(read_tape(spark, tape_path, ("size", "signed_volume")))
+    return require_valid(validate_tape(totals, spark.read.parquet(f"{reports}/trade_volume_report")))
+
+
 def setup_bars(tape: DataFrame, zone_seconds: int, signal_seconds: int):
     """Zone bars and signal bars from one aggregate over the trades.
 
     The bars are read several times later on, so they are stored: the tape is scanned once.
     """
-    signal = stored(ohlcv_bars(tape, signal_seconds), "signal_bars")
+    bars = ohlcv_bars(tape, signal_seconds, wide_keys=needs_wide_keys(tape))
+    signal = stored(bars, "signal_bars")
     return rollup_bars(signal, zone_seconds), signal
 
 
@@ -109,7 +143,8 @@ def gap_candidates(tape: DataFrame, cfg: GapSetupConfig) -> DataFrame:
 
 
 def technical_candidates(tape: DataFrame, cfg: IndicatorSetupConfig) -> DataFrame:
-    return indicator_candidates(ohlcv_bars(tape, cfg.bar_seconds), cfg)
+    bars = ohlcv_bars(tape, cfg.bar_seconds, wide_keys=needs_wide_keys(tape))
+    return indicator_candidates(bars, cfg)
 
 
 def run_candidate_job(
@@ -129,17 +164,14 @@ def run_candidate_job(
     write_table(build(tape, setup), target, cfg)
 
 
-def run_label_job(
-    spark: SparkSession,
-    tape_path: str,
-    candidates_path: str,
-    target: str,
-    cfg: TapeConfig,
-    execution: ExecutionConfig,
-) -> None:
-    """Label stored candidates. They are counted first; only a counted few are broadcast.
+def label_tape(
+    spark: SparkSession, tape_path: str, candidates: DataFrame, cfg: ExecutionConfig
+) -> DataFrame:
+    """Labels of candidates over a stored tape.
 
-    Their dates, and their symbols when few, also choose the partitions of the tape to read.
+    Their times, and their symbols when few, choose the partitions of the tape to read. A trading
+    date is the date of a zone's clock or the one after, so whatever the zone and the session's
+    start, it lies from the day before the UTC date to two days after it.
     """
     cols = (
         "ts_event_ns",
@@ -150,10 +182,12 @@ def run_label_job(
         "source_row_number",
         "trading_date",
     )
-    candidates = read_candidates(spark, candidates_path)
-    day = F.substring("cme_session_id", len(cfg.session_prefix) + 1, 10)
+    entry = F.unix_seconds("entry_timestamp")
+    day = lambda seconds, by: F.date_add(F.date_from_unix_date((F.floor(seconds / 86_400)).cast("int")), by)
+    hold = F.coalesce(F.col("max_holding_seconds"), F.lit(0)) + cfg.entry_latency_seconds
     seen = candidates.agg(
-        F.count(F.lit(1)).alias("n"), F.min(day).alias("first"), F.max(day).alias("last")
+        F.min(day(entry, -1)).cast("string").alias("first"),
+        F.max(day(entry + hold, 2)).cast("string").alias("last"),
     ).first()
     tape = read_tape(spark, tape_path, cols).filter(
         F.col("trading_date").between(seen["first"], seen["last"])
@@ -161,17 +195,32 @@ def run_label_job(
     names = candidates.select("symbol").distinct().limit(PRUNED_SYMBOLS + 1).collect()
     if len(names) <= PRUNED_SYMBOLS:
         tape = tape.filter(F.col("symbol").isin([r["symbol"] for r in names]))
-    labels = first_barrier_labels(
-        candidates, tape, execution, small_tasks=seen["n"] <= BROADCAST_CANDIDATES
-    )
+    return first_barrier_labels(candidates, tape, cfg, wide_keys=needs_wide_keys(tape))
+
+
+def run_label_job(
+    spark: SparkSession,
+    tape_path: str,
+    candidates_path: str,
+    target: str,
+    cfg: TapeConfig,
+    execution: ExecutionConfig,
+    reports: str | None = None,
+) -> None:
+    """Label stored candidates; with ``reports``, write the gate report and the counts there."""
+    labels = label_tape(spark, tape_path, read_candidates(spark, candidates_path), execution)
     write_table(labels, target, cfg, sort=("entry_timestamp", "setup_id"))
+    if reports:
+        written = spark.read.schema(labels.schema).parquet(target)
+        write_table(label_gate_report(written), f"{reports}/label_gate_report", cfg)
+        write_table(label_counts(written), f"{reports}/label_counts", cfg)
 
 
 def bar_study(trades: DataFrame, cfg: StudyConfig) -> dict[str, DataFrame]:
     """Signals, outcomes, equity and monthly summary of loose trades, which are scanned once."""
     signal_bars = stored(candles(trades, cfg.signal_bar_seconds, cfg.market_tz), "study_bars")
     zone_bars = rollup_bars(signal_bars, cfg.zone_bar_seconds, cfg.market_tz)
-    rated = study_bars(signal_bars, cfg)
+    rated = stored(study_bars(signal_bars, cfg), "study_rated")
     signals = regime_signals(zone_bars, rated, cfg)
     month = F.left(local_date(F.col("entry_ns"), cfg.market_tz), F.lit(7))
     outcomes = bar_barrier_outcomes(signals.filter("tradable"), rated, cfg).withColumn(

@@ -108,33 +108,32 @@ LABEL_REPORT_COLUMNS = (
 )
 
 
+def _column_rows(names: list[str], required: Iterable[str]) -> list[tuple[int, str, bool, bool, bool]]:
+    """Position, name, and whether required, present and repeated: the input's columns, then the lacking ones."""
+    wanted = list(required)
+    every = dict.fromkeys([*names, *wanted])
+    return [(i, n, n in wanted, n in names, names.count(n) > 1) for i, n in enumerate(every)]
+
+
+def _fault(row: tuple[int, str, bool, bool, bool]) -> str | None:
+    _, name, required, present, repeated = row
+    return f"{name} twice" if repeated else f"no {name}" if required and not present else None
+
+
 def require_columns(names: Iterable[str], required: Iterable[str], what: str = "input") -> None:
-    """Raise on missing or repeated column names."""
-    names = list(names)
-    repeated = sorted({n for n in names if names.count(n) > 1})
-    missing = sorted(set(required) - set(names))
-    problems = []
-    if repeated:
-        problems.append(f"duplicate columns: {', '.join(repeated)}")
-    if missing:
-        problems.append(f"missing required columns: {', '.join(missing)}")
-    if problems:
-        raise SchemaError(f"{what}: {'; '.join(problems)}")
+    """Raise where the schema report would call the input invalid."""
+    faults = [f for f in map(_fault, _column_rows(list(names), required)) if f]
+    if faults:
+        raise SchemaError(f"{what} has {', '.join(faults)}")
 
 
 def schema_report(df: DataFrame, required: Iterable[str] = MBO_REQUIRED) -> DataFrame:
     """One row per present or missing column, with the verdict on the whole input."""
-    required = list(required)
-    names = df.columns
     types = {f.name: f.dataType.simpleString() for f in df.schema}
-    missing = [n for n in required if n not in types]
-    valid = not missing and len(set(names)) == len(names)
-    rows = [
-        (i, n, types.get(n), n in required, n in types, names.count(n) > 1, valid)
-        for i, n in enumerate(list(dict.fromkeys(names)) + missing)
-    ]
+    found = _column_rows(df.columns, required)
+    valid = not any(map(_fault, found))
     return df.sparkSession.createDataFrame(
-        rows,
+        [(i, name, types.get(name), *flags, valid) for i, name, *flags in found],
         "position int, column_name string, column_type string, required boolean, "
         "present boolean, duplicated boolean, input_valid boolean",
     )

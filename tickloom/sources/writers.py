@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,18 @@ from tickloom.errors import OutputError
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder shared by the cluster; a local one only when none is set."""
+    """A new path in the folder that the cluster shares.
+
+    That is ``spark.checkpoint.dir``, or else the context's checkpoint folder. Only a local master
+    may do without, as its executors share the machine.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        of_context = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = of_context.get() if of_context.isDefined() else None
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise OutputError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
@@ -38,14 +48,44 @@ def _mode(overwrite: bool) -> str:
     return "overwrite" if overwrite else "errorifexists"
 
 
-def write_tape(df: DataFrame, path: str, cfg: TapeConfig) -> dict[str, int]:
+def _swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path``."""
+    jvm = spark.sparkContext._jvm
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    fs = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = jvm.org.apache.hadoop.fs.Path(f"{new}-old")
+    there = fs.exists(to)
+    if there and not fs.rename(to, old):
+        raise OutputError(f"{path} could not be moved away")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(new), to):
+        if there:
+            fs.rename(old, to)
+        raise OutputError(f"{path} could not be put in place")
+    if there:
+        fs.delete(old, True)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def write_tape(
+    df: DataFrame, path: str, cfg: TapeConfig, check: Callable[[dict[str, int]], None] | None = None
+) -> dict[str, int]:
     """Write a tape under symbol / trading_date in causal order; return what was written.
 
     Rows are rebalanced by the partition keys: adaptive execution splits a symbol or day that
     holds most rows over many tasks and joins small ones, from the shuffle's own sizes, so the
     input is read once and each task touches few directories. The totals are counted while
-    writing.
+    writing. The tape is written beside its place and judged there: an empty one, or one that
+    ``check`` refuses by raising, leaves what stood at ``path`` untouched.
     """
+    spark = df.sparkSession
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    taken = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    if taken and not cfg.overwrite:
+        raise OutputError(f"{path} already exists")
     seen = Observation(f"tape-{uuid.uuid4().hex}")
     out = (
         S.conform(df, S.TAPE)
@@ -58,28 +98,39 @@ def write_tape(df: DataFrame, path: str, cfg: TapeConfig) -> dict[str, int]:
             F.coalesce(F.sum("signed_volume"), F.lit(0)).alias("sum_signed_volume"),
         )
     )
-    (
-        out.write.mode(_mode(cfg.overwrite))
-        .option("maxRecordsPerFile", cfg.target_rows_per_file)
-        .option("compression", CODECS[cfg.compression])
-        .partitionBy(*S.PARTITIONS)
-        .parquet(path)
-    )
-    totals = {k: int(v) for k, v in seen.get.items()}
-    if totals["row_count"] == 0:
-        raise OutputError("no trade rows were written")
+    beside = f"{path.rstrip('/')}.next-{uuid.uuid4().hex}"
+    try:
+        (
+            out.write.option("maxRecordsPerFile", cfg.target_rows_per_file)
+            .option("compression", CODECS[cfg.compression])
+            .partitionBy(*S.PARTITIONS)
+            .parquet(beside)
+        )
+        totals = {k: int(v) for k, v in seen.get.items()}
+        if totals["row_count"] == 0:
+            raise OutputError("no trade rows were written")
+        if check:
+            check(totals)
+    except BaseException:
+        _drop(spark, beside)
+        raise
+    _swap(spark, beside, path)
     return totals
 
 
-def write_quarantine(rejected: DataFrame, path: str, cfg: TapeConfig) -> None:
-    """The first rejected rows in scan order, as a bounded sample."""
-    sample = S.conform(rejected, S.QUARANTINE)
-    (
-        sample.orderBy("source_row_number")
-        .limit(cfg.quarantine_sample_limit)
-        .write.mode(_mode(cfg.overwrite))
-        .parquet(path)
-    )
+def write_quarantine(rejected: DataFrame, path: str, cfg: TapeConfig) -> dict[str, int]:
+    """All rejected rows, or the first ``quarantine_sample_limit`` in scan order if that is set.
+
+    Returns how many were rejected (``total``) and how many stored (``written``).
+    """
+    seen = Observation(f"quarantine-{uuid.uuid4().hex}")
+    rows = S.conform(rejected, S.QUARANTINE).observe(seen, F.count(F.lit(1)).alias("total"))
+    if cfg.quarantine_sample_limit is not None:
+        rows = rows.orderBy("source_row_number").limit(cfg.quarantine_sample_limit)
+    rows.write.mode(_mode(cfg.overwrite)).parquet(path)
+    total = int(seen.get["total"])
+    limit = cfg.quarantine_sample_limit
+    return {"total": total, "written": total if limit is None else min(total, limit)}
 
 
 def write_table(df: DataFrame, path: str, cfg: TapeConfig, sort: tuple[str, ...] = ()) -> None:
