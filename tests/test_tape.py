@@ -342,7 +342,7 @@ def test_audit_and_validate_jobs(spark, tmp_path):
 
 
 def test_shared_folder_is_asked_for(spark, monkeypatch):
-    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host:7077"))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared or spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         assert not writers.scratch_path(spark, "x").startswith("/tmp/spark-")
