@@ -13,6 +13,7 @@ from tickloom import schema as S
 from tickloom.config import TapeConfig
 from tickloom.errors import ConfigError, OutputError, QualityError, SchemaError
 from tickloom.functions import ns_to_iso, parse_utc_ns
+from tickloom.functions.clock import floor_div
 from tickloom.operators.audit import (
     audit_cells,
     partial_sessions,
@@ -157,6 +158,29 @@ def test_timestamp_text(spark):
     ]
 
 
+def test_all_times_of_a_long(spark):
+    """Texts at both ends of the nanosecond range, and floors of numbers there."""
+    ends = {
+        "1677-09-21T00:12:43.145224192Z": -(2**63),
+        "1677-09-21T00:12:43.145224191Z": None,
+        "1969-12-31T23:59:59.999999999Z": -1,
+        "2262-04-11T23:47:16.854775807Z": 2**63 - 1,
+        "2262-04-11T23:47:16.854775808Z": None,
+        "9999-12-31T00:00:00Z": None,
+        "2026-01-01T00:00:00Z\n": None,
+    }
+    df = spark.createDataFrame([(t,) for t in ends], "t string")
+    parsed = df.select("t", parse_utc_ns(F.col("t")).alias("n"))
+    assert {r["t"]: r["n"] for r in parsed.collect()} == ends
+    back = parsed.filter("n is not null").select("t", ns_to_iso(F.col("n")).alias("again"))
+    assert all(r["t"] == r["again"] for r in back.collect())
+    values = [-(2**63), -(2**63) + 1, -1001, -1000, -1, 0, 1, 999, 1000, 2**63 - 1]
+    by = [1, 3, 6, 64, 1000, 10**9, 86_400_000_000, 1800 * 10**9, 4 * 10**9 * 86_400]
+    rows = spark.createDataFrame([(v,) for v in values], "v bigint")
+    got = rows.select("v", *(floor_div(F.col("v"), b).alias(str(b)) for b in by)).collect()
+    assert all(r[str(b)] == r["v"] // b for r in got for b in by)
+
+
 def test_sessions_do_not_depend_on_session_time_zone(spark):
     from tickloom.functions import is_rth, session_close_ns, session_open_ns, trading_date
 

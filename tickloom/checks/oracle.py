@@ -572,6 +572,14 @@ _NULLABLE = (
 )
 _SHAPED = """
 SELECT event_id, epoch_us(ts) AS us FROM events"""
+
+
+def _far(year: int) -> str:
+    """Epoch ns of the same day and time in another year; null where it has no such day."""
+    text = f"'{year}' || strftime(make_timestamp(us), '-%m-%d %H:%M:%S.%f')"
+    return f"epoch_us(try_cast({text} AS TIMESTAMP)) * 1000"
+
+
 _BAR_COLS = "symbol, session_id, bar_start_ns, open, high, low, close, volume"
 _CANDLE_COLS = "symbol, bar_start_ns, open, high, low, close, volume, trades, range"
 _ROUGH = """
@@ -641,9 +649,10 @@ _FINAL: dict[str, str] = {
         "(SELECT event_id, epoch_us(ts) * 1000 + event_id % 1000 AS ns FROM events)"
     ),
     "timestamp_parse": (
-        "SELECT event_id, ns, ns IS NULL AS invalid FROM (SELECT event_id, CASE event_id % 8 "
+        "SELECT event_id, ns, ns IS NULL AS invalid FROM (SELECT event_id, CASE event_id % 10 "
         "WHEN 0 THEN us * 1000 WHEN 1 THEN (us // 1000000) * 1000000000 "
         "WHEN 2 THEN (us // 1000) * 1000000 "
+        f"WHEN 8 THEN {_far(1700)} WHEN 9 THEN {_far(2200)} "
         f"END AS ns FROM ({_SHAPED}))"
     ),
     "action_side_report": (
@@ -717,6 +726,13 @@ FROM (SELECT *, least(equity * 0.025::DOUBLE, room * 10000 * 0.8::DOUBLE) AS cas
   FROM (SELECT event_id, (4000 + event_id % 50 * 200)::DOUBLE AS equity, value / 8 - 1 AS risk,
       0.018::DOUBLE - (event_id % 20) / 1000.0::DOUBLE AS room FROM events))""",
     "bars_m30": f"SELECT {_BAR_COLS} FROM m30",
+    "bars_ties": """
+SELECT symbol, session_id, ts // 1800000000000 * 1800000000000 AS bar_start_ns,
+  first(price ORDER BY ts, seq, pos) AS open, max(price) AS high, min(price) AS low,
+  last(price ORDER BY ts, seq, pos) AS close, sum(size)::BIGINT AS volume
+FROM (SELECT *, ts_event_ns // 600000000000 * 600000000000 AS ts, source_row_number % 5 AS seq,
+  source_row_number * 7919 % 1000003 AS pos FROM tape)
+GROUP BY symbol, session_id, ts // 1800000000000""",
     "bars_m30_wide_keys": f"SELECT {_BAR_COLS} FROM m30",
     "bars_h1": f"SELECT {_BAR_COLS} FROM h1",
     "candles_15m": f"SELECT {_CANDLE_COLS} FROM c15",

@@ -213,7 +213,7 @@ def reason_counts_from_cells(spark, d):
 def timestamp_parse(spark, d):
     """Good and malformed texts made from every event time."""
     text = fn.ns_to_iso(fn.epoch_ns(read_events(spark, d), "ts"))
-    n = F.col("event_id") % 8
+    n = F.col("event_id") % 10
     shaped = (
         F.when(n == 0, text)
         .when(n == 1, F.concat(F.left(text, F.lit(19)), F.lit("Z")))
@@ -222,6 +222,8 @@ def timestamp_parse(spark, d):
         .when(n == 4, F.translate(text, "Z", ""))
         .when(n == 5, F.concat(F.lit("2024-02-30"), F.substring(text, 11, 20)))
         .when(n == 6, F.concat(F.left(text, F.lit(29)), F.lit("5Z")))
+        .when(n == 8, F.concat(F.lit("1700"), F.substring(text, 5, 26)))
+        .when(n == 9, F.concat(F.lit("2200"), F.substring(text, 5, 26)))
     )
     return (
         read_events(spark, d)
@@ -413,6 +415,21 @@ def bars_m30_wide_keys(spark, d):
     return plain(B.ohlcv_bars(tape_view(spark, d), 1800, wide_keys=True))
 
 
+@query
+def bars_ties(spark, d):
+    """Bars of trades that share minutes and sequences and are scanned out of order."""
+    ns = F.col("ts_event_ns")
+    row = F.col("source_row_number")
+    tied = tape_view(spark, d).withColumns(
+        {
+            "ts_event_ns": ns - F.pmod(ns, F.lit(600_000_000_000)),
+            "sequence": row % 5,
+            "source_row_number": row * 7919 % 1000003,
+        }
+    )
+    return plain(B.ohlcv_bars(tied, 1800))
+
+
 @query
 def bars_h1(spark, d):
     return plain(_h1(spark, d))

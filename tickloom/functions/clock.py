@@ -15,18 +15,27 @@ NS = 1_000_000_000
 DAY = 86_400
 DAY_US = DAY * 1_000_000
 # Fixed value: the accepted text form of a UTC timestamp.
-UTC_TEXT = r"^(\d{4}-\d{2}-\d{2})T(\d{2}:\d{2}:\d{2})(?:\.(\d{1,9}))?Z$"
+UTC_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?Z\z"
 
 
 def floor_div(value: Column, by: int) -> Column:
-    """Integer division rounding down, naming ``value`` once.
+    """Integer division rounding down, for any BIGINT; divisors that 4 divides name ``value`` once.
 
-    The shift makes the dividend positive, so that truncation rounds down; values from -4e18 to
-    5.2e18 fit (nanoseconds of the years 1844 to 2134), others raise. An expression that repeats
-    its argument would double the generated code at every nesting.
+    The twos in the divisor are an arithmetic shift, which rounds down and leaves room to make the
+    dividend positive, so that truncation by the odd rest rounds down as well. An expression that
+    repeats its argument would double the generated code at every nesting.
     """
-    shift = 4 * 10**18 // by
-    return F.call_function("div", value + F.lit(shift * by), F.lit(by)) - F.lit(shift)
+    twos = (by & -by).bit_length() - 1
+    odd = by >> twos
+    value = value.cast("bigint")
+    if odd > 1 and twos < 2:
+        below = F.when(value % F.lit(by) < 0, F.lit(1)).otherwise(F.lit(0))
+        return F.call_function("div", value, F.lit(by)) - below
+    value = F.shiftright(value, twos)
+    if odd == 1:
+        return value
+    shift = -(-(1 << (63 - twos)) // odd)
+    return F.call_function("div", value + F.lit(shift * odd), F.lit(odd)) - F.lit(shift)
 
 
 def ns_to_ts(ns: Column) -> Column:
@@ -59,16 +68,17 @@ def local_date(ns: Column, tz: str) -> Column:
 
 
 def parse_utc_ns(text: Column) -> Column:
-    """Epoch ns of a strict UTC text; anything else is null.
+    """Epoch ns of a strict UTC text; anything else, or a time that BIGINT can't hold, is null.
 
     The pattern is matched once; the parts then sit at fixed places. The zone is in the text that
-    is cast, so the session time zone plays no part.
+    is cast, so the session time zone plays no part. Times before 1970 are counted back from the
+    next full second, so that the earliest ones are in reach.
     """
     seconds = F.unix_seconds(F.concat(F.left(text, F.lit(19)), F.lit("Z")).try_cast("timestamp"))
     fraction = F.rpad(F.rtrim(F.substring(text, 21, 9), F.lit("Z")), 9, "0").try_cast("bigint")
-    # Years that floor_div takes; texts of this form sort by time.
-    fits = (text >= "1844") & (text < "2134")
-    return F.when(fits & text.rlike(UTC_TEXT), seconds * NS + fraction)
+    early = F.when(text < "1970", F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    whole = F.try_multiply(seconds + early, F.lit(NS).cast("bigint"))
+    return F.when(text.rlike(UTC_TEXT), F.try_add(whole, fraction - early * NS))
 
 
 def epoch_ns(df: DataFrame, name: str) -> Column:
