@@ -35,6 +35,8 @@ from tickloom.sources.writers import stored
 THRESHOLD, SIDE = 400, 16
 #: Distinct spans of a digit that one task refines: 43 MB, and windows of one block of each at a time.
 HOT_GROUP = 65_536
+#: Parts that the rows of one digit are dealt into.
+PARTS = 1024
 _SLICE = 1 << 20
 _BLOCKS = "k1 long, k2 long, g long, c long, at long"
 _MARKS = "k1 long, k2 long, lo long, hi long, window long, check long"
@@ -223,6 +225,19 @@ def _group_runs(g: np.ndarray) -> Iterator[tuple[int, int]]:
         yield start, len(g)
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows whose digit ``g`` is not theirs alone, with how many have it (``kinds``) and a ``part``
+    by their text, so that copies are spread too.
+
+    Rows are dealt by digit and part, so those of a frequent digit meet in many tasks; by digit
+    alone only counts are dealt, at most ``PARTS`` for each.
+    """
+    rows = rows.withColumn("part", F.pmod(F.col("k1"), F.lit(PARTS)).cast("int"))
+    parts = rows.groupBy("g", "part").agg(F.count(F.lit(1)).alias("n"))
+    known = parts.groupBy("g").agg(F.sum("n").alias("kinds"), F.collect_list("part").alias("parts")).where("kinds > 1")
+    return rows.join(known.select("g", F.explode("parts").alias("part"), "kinds"), ["g", "part"])
+
+
 def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, side: int = SIDE) -> DataFrame:
     """``k1, k2, lo, hi``: byte ranges made of windows of ``threshold`` bytes that occur twice.
 
@@ -232,8 +247,7 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, side: int = SIDE
         raise ValueError("side must be at most 16 and threshold at least side ** 2")
     texts = docs.select(*KEYS, "text")
     blocks = texts.mapInArrow(_anchors(threshold, side), _BLOCKS)
-    shared = blocks.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
-    blocks = stored(blocks.join(shared, "g", "left_semi"), "suffix-blocks")
+    blocks = stored(_shared(blocks).drop("part", "kinds"), "suffix-blocks")
 
     spans = blocks.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEYS, "at")).alias("one"))
     spans = stored(spans, "suffix-spans")
@@ -241,9 +255,8 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, side: int = SIDE
     first, last = F.expr("(at >> 16) - (at >> 8 & 255)"), F.expr("(at >> 16) - (at & 255)")
     equal = equal.select(*KEYS, first.alias("lo"), (last + threshold).alias("hi"))
 
-    kinds = spans.groupBy("g").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    salt = F.when(F.col("kinds") > HOT_GROUP, F.expr("pmod(one.k1, 1024)")).otherwise(F.lit(-1)).cast("int")
-    open_ = spans.join(kinds, "g").select("g", "one.*", salt.alias("salt"))
+    salt = F.when(F.col("kinds") > HOT_GROUP, F.col("part")).otherwise(F.lit(-1)).alias("salt")
+    open_ = _shared(spans.select("g", "one.*")).select("g", *KEYS, "at", salt)
     cells = open_.groupBy(*KEYS).agg(F.collect_set(F.struct("g", "at", "salt")).alias("cells"))
     packed = texts.mapInArrow(_packed, "k1 long, k2 long, packed binary")
     contexts = packed.join(cells, KEYS).mapInArrow(_contexts(threshold), "k1 long, k2 long, g long, at long, salt int, span binary")
