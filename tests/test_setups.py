@@ -207,6 +207,9 @@ def test_gap_fill_against_a_scan(spark):
     for r in gap_fill_status(df, 1800).collect():
         got[r["symbol"]][r["start_ns"]] = (r["status"], r["end_ns"])
     assert got["A"] == scan(rows) and got["B"] == scan(rows[:70])
+    few = gap_fill_status(df.where("symbol = 'B'").orderBy("bar_start_ns").limit(40), 1800)
+    assert {r["start_ns"]: (r["status"], r["end_ns"]) for r in few.collect()} == scan(rows[:40])
+    assert gap_fill_status(df.where("symbol = 'C'"), 1800).count() == 0
     newest = latest_gaps(gap_fill_status(df, 1800), 5).collect()
     assert [r["start_ns"] for r in newest] == sorted(got["A"], reverse=True)[:5]
 
@@ -252,6 +255,16 @@ def test_averages_against_the_recurrence(spark):
             assert abs(row[name] - value) < 1e-8
 
 
+def test_averages_carry_over_all_blocks(spark):
+    closes = [1e300] + [0.0] * 400
+    df = spark.createDataFrame(
+        [("A", i, c) for i, c in enumerate(closes)], "symbol string, bar_start_ns bigint, close double"
+    )
+    out = emas(df, {"e": ("close", 3)}).orderBy("bar_start_ns").collect()
+    for i, row in enumerate(out):
+        assert abs(row["e"] / (1e300 * 0.5**i) - 1) < 1e-9
+
+
 def test_rsi_and_atr_edges(spark):
     rows = flat(zip(TIMES, [10, 10, 10, 10, 11, 12, 13, 12]))
     out = rsi(bars(spark, rows), 3).orderBy("bar_start_ns").collect()

@@ -79,7 +79,7 @@ def gap_fill_status(bars: DataFrame, seconds: int) -> DataFrame:
 
     The search climbs and descends a tree of 64-bar nodes: at each level a zone meets one node
     through an equi-join, so work grows with zones times tree height, never zones times bars.
-    The bars are read several times; pass stored ones.
+    The height follows the bars. They are read several times; pass stored ones.
     """
     w = Window.partitionBy("symbol").orderBy("bar_start_ns")
     numbered = bars.select(
@@ -92,24 +92,20 @@ def gap_fill_status(bars: DataFrame, seconds: int) -> DataFrame:
     level = numbered.select(
         "symbol", F.col("bar_no").alias("node"), F.col("low").alias("lo"), F.col("high").alias("hi")
     )
+    # As many levels as the longest symbol needs for one root; one number comes to the driver.
+    last = numbered.agg(F.max("bar_no")).first()[0] or 0
     tree = []
-    for _ in range(3):
+    while not tree or _FAN ** len(tree) <= last:
         level = _nodes(level)
         tree.append(level.select("symbol", "parent", "kids"))
         level = level.select("symbol", F.col("parent").alias("node"), "lo", "hi")
-    # The root holds the nodes of 64^3 bars; it has one child per 30 years of half hours.
-    kid = F.struct("node", "lo", "hi")
-    tree.append(
-        level.groupBy("symbol")
-        .agg(F.array_sort(F.collect_list(kid)).alias("kids"))
-        .select("symbol", F.lit(0).cast("bigint").alias("parent"), "kids")
-    )
+    # A zone that has nothing to look up at a level gets a key of its own there, which no node has.
+    nowhere = -1 - F.col("bar_no")
     # Up: the first hit among later siblings; the lowest level that has one is nearest.
     found = zones.withColumn("hit", F.lit(None).cast("bigint")).withColumn("hit_level", F.lit(-1))
     for depth, nodes in enumerate(tree):
         own = floor_div(F.col("bar_no"), _FAN**depth)
-        parent = F.lit(0).cast("bigint") if depth == 3 else floor_div(own, _FAN)
-        probe = F.when(F.col("hit_level") < 0, parent)
+        probe = F.when(F.col("hit_level") < 0, floor_div(own, _FAN)).otherwise(nowhere)
         joined = found.withColumn("parent", probe).join(nodes, ["symbol", "parent"], "left")
         got = _first_fill(F.col("kids"), own)
         found = joined.select(
@@ -121,9 +117,9 @@ def gap_fill_status(bars: DataFrame, seconds: int) -> DataFrame:
             .alias("hit_level"),
         )
     # Down: the first hit among the children of the node that holds it.
-    for depth in (2, 1, 0):
+    for depth in reversed(range(len(tree) - 1)):
         deeper = F.col("hit_level") > depth
-        joined = found.withColumn("parent", F.when(deeper, F.col("hit"))).join(
+        joined = found.withColumn("parent", F.when(deeper, F.col("hit")).otherwise(nowhere)).join(
             tree[depth], ["symbol", "parent"], "left"
         )
         got = _first_fill(F.col("kids"), F.lit(-1))

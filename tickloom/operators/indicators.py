@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.prices import dec
 
+# Block ends that an average is folded over: 1e-18 to this power takes the largest double to zero.
+_REACH = 36
+
 
 def bar_window(df: DataFrame):
     """Bars of a symbol in time order."""
@@ -103,14 +106,20 @@ def rsi(bars: DataFrame, period: int = 14) -> DataFrame:
     return sums.withColumn("rsi", value).drop("_gain", "_loss", "_n")
 
 
+def _folded(ends: Column, decay: float) -> Column:
+    """The recurrence ``older * decay + end`` over an array."""
+    return F.aggregate(ends, F.lit(0.0), lambda older, end: older * decay + end)
+
+
 def emas(df: DataFrame, wanted: dict[str, tuple[str, int]]) -> DataFrame:
     """Exponential averages ``{out: (column, period)}``, alpha = 2 / (period + 1), each seeded with
     the first value.
 
-    The recurrence is cut into blocks of rows. Inside a block it is a weighted running sum; the
-    block before contributes its own last value times r^k, and anything older is below r^block,
-    which the block length puts under 1e-18 - less than a double can hold. All averages share the
-    block of the slowest one.
+    The recurrence is cut into blocks of rows. Inside a block it is a weighted running sum; what
+    came before adds the average at the last block's end times r^k. These averages are the same
+    recurrence over the table of block ends, one row a block, which is folded over ``_REACH``
+    blocks: the block length puts r^block under 1e-18, so the weight of anything older takes
+    every double to zero. All averages share the block of the slowest one.
     """
     numbered = _with_number(df)
     direct = {out: F.col(c).cast("double") for out, (c, n) in wanted.items() if n == 1}
@@ -124,14 +133,13 @@ def emas(df: DataFrame, wanted: dict[str, tuple[str, int]]) -> DataFrame:
         first = min(slow, key=lambda out: slow[out][1])
         rest = {out: cn for out, cn in wanted.items() if out != first}
         return emas(emas(numbered, {first: wanted[first]}), rest)
-    w = bar_window(df)
     tie = [F.col("session_id")] if "session_id" in df.columns else []
     inside = (
         Window.partitionBy("symbol", "_block")
         .orderBy("bar_start_ns", *tie)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    past = Window.partitionBy("symbol").orderBy("_block").rowsBetween(1 - _REACH, 0)
     k = F.col("_k")
     local, carry, total = {}, {}, {}
     for out, (col, n) in slow.items():
@@ -139,8 +147,8 @@ def emas(df: DataFrame, wanted: dict[str, tuple[str, int]]) -> DataFrame:
         weight = F.when(F.col("bar_no") == 0, F.lit(1.0)).otherwise(F.lit(2.0 / (n + 1)))
         scaled = weight * F.col(col).cast("double") * F.pow(F.lit(1.0 / r), k)
         local[f"_l_{out}"] = F.sum(scaled).over(inside) * F.pow(F.lit(r), k)
-        ends = F.when(k == block - 1, F.col(f"_l_{out}"))
-        carry[f"_c_{out}"] = F.last(ends, ignorenulls=True).over(before)
+        ends_so_far = F.collect_list(F.coalesce(F.col(f"_l_{out}"), F.lit(0.0))).over(past)
+        carry[f"_c_{out}"] = _folded(ends_so_far, r**block)
         tail = F.coalesce(F.col(f"_c_{out}") * F.pow(F.lit(r), k + 1), F.lit(0.0))
         total[out] = F.col(f"_l_{out}") + tail
     placed = numbered.withColumns(
@@ -148,13 +156,13 @@ def emas(df: DataFrame, wanted: dict[str, tuple[str, int]]) -> DataFrame:
             "_block": F.floor(F.col("bar_no") / block),
             "_k": (F.col("bar_no") % block).cast("double"),
         }
+    ).withColumns(local)
+    ends = placed.filter(k == block - 1).select(
+        "symbol", (F.col("_block") + 1).alias("_block"), *local
     )
-    return (
-        placed.withColumns(local)
-        .withColumns(carry)
-        .withColumns({**total, **direct})
-        .drop("_block", "_k", *local, *carry)
-    )
+    ends = ends.select("symbol", "_block", *(c.alias(name) for name, c in carry.items()))
+    joined = placed.join(ends, ["symbol", "_block"], "left").withColumns({**total, **direct})
+    return joined.select(*numbered.columns, *(out for out in wanted if out not in numbered.columns))
 
 
 def ema(df: DataFrame, col: str, period: int, out: str) -> DataFrame:
