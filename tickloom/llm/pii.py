@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 MOST_TOKENS = 24
+SCORED_TOKENS = 1_024
 TRAIN_LINES, TRAIN_STEPS = 320, 60
 _RANK = {k: i for i, k in enumerate(KINDS)}
 
@@ -116,28 +118,45 @@ class Field:
         self.weights = weights
 
     @staticmethod
-    def lattice(text: str, low: int, high: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]], np.ndarray]:
-        """Tokens of text[low:high], candidate spans as token ranges, and their features."""
+    def tokens(text: str, low: int, high: int) -> tuple[list[tuple[int, int]], list[int], int]:
+        """Tokens of text[low:high], the cues of these and of up to three words before, and how many are before."""
         tokens = [m.span() for m in _TOKEN.finditer(text, low, high)]
         before = [m[0].lower() for m in _TOKEN.finditer(text, max(0, low - 24), low)][-3:]
         words = before + [text[s:e].lower() for s, e in tokens]
-        cues = [next((i for i, k in enumerate(KINDS) if w in _CUES[k]), -1) for w in words]
+        return tokens, [next((i for i, k in enumerate(KINDS) if w in _CUES[k]), -1) for w in words], len(before)
+
+    @staticmethod
+    def candidates(text: str, tokens: list[tuple[int, int]], cues: list[int], before: int, first: int, last: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+        """Candidate spans that start at the tokens from ``first`` to ``last``, as token ranges, and their features."""
         spans, rows = [], []
-        for i, (start, _) in enumerate(tokens):
+        for i in range(first, min(last, len(tokens))):
+            start = tokens[i][0]
             if not (text[start].isalnum() or text[start] in "+("):
                 continue
-            near = [c for c in cues[max(0, i + len(before) - 3) : i + len(before)] if c >= 0]
+            near = [c for c in cues[max(0, i + before - 3) : i + before] if c >= 0]
             for j in range(i, min(len(tokens), i + MOST_TOKENS)):
                 end = tokens[j][1]
                 if j == i and end - start < 7 or not text[end - 1].isalnum():
                     continue
                 spans.append((i, j + 1))
                 rows.append(_features(text, start, end, j + 1 - i, near[-1] if near else -1))
-        return tokens, spans, np.array(rows).reshape(-1, N_FEATURES)
+        return spans, np.array(rows).reshape(-1, N_FEATURES)
+
+    @staticmethod
+    def lattice(text: str, low: int, high: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]], np.ndarray]:
+        """Tokens of text[low:high], candidate spans as token ranges, and their features."""
+        tokens, cues, before = Field.tokens(text, low, high)
+        return tokens, *Field.candidates(text, tokens, cues, before, 0, len(tokens))
 
     def decode(self, text: str, low: int, high: int) -> list[tuple[int, int, str]]:
-        tokens, spans, x = self.lattice(text, low, high)
-        score = x @ self.weights
+        tokens, cues, before = self.tokens(text, low, high)
+        spans, kinds, tops = [], [], []
+        for at in range(0, len(tokens), SCORED_TOKENS):  # the features of a long region are never held at once
+            some, x = self.candidates(text, tokens, cues, before, at, at + SCORED_TOKENS)
+            score = x @ self.weights
+            spans += some
+            kinds += score.argmax(axis=1).tolist()
+            tops += score.max(axis=1).tolist()
         best = np.zeros(len(tokens) + 1)
         back: list[tuple[int, int] | None] = [None] * (len(tokens) + 1)
         ending: dict[int, list[int]] = {}
@@ -146,8 +165,8 @@ class Field:
         for j in range(1, len(tokens) + 1):
             best[j] = best[j - 1]
             for k in ending.get(j, ()):
-                kind = int(score[k].argmax())
-                total = best[spans[k][0]] + score[k, kind]
+                kind = kinds[k]
+                total = best[spans[k][0]] + tops[k]
                 if total > best[j] + 1e-12:
                     best[j], back[j] = total, (spans[k][0], kind)
         out, j = [], len(tokens)
@@ -245,6 +264,40 @@ def _regions(text: str) -> Iterator[tuple[int, int]]:
             yield max(0, m.start() - 66), min(len(text), m.end() + 130)
 
 
+def _joined(regions: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for low, high in regions:
+        if out and low <= out[-1][1]:
+            out[-1] = out[-1][0], max(high, out[-1][1])
+        else:
+            out.append((low, high))
+    return out
+
+
+def _merged(text: str, regions: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted regions with those that overlap or touch as one; none ends inside a word, an address or a run of digits."""
+    if not regions:
+        return []
+    runs = [m.span() for m in _NUMBERS.finditer(text)]
+    first = [s for s, _ in runs]
+    out, past = [], 0
+    for low, high in _joined(regions):
+        k = bisect(first, low) - 1
+        if k >= 0 and runs[k][1] > low:
+            low = runs[k][0]
+        while past < low < len(text) and all(c.isalnum() or c in _LOCAL for c in text[low - 1 : low + 1]):
+            low -= 1
+        k = bisect(first, high - 1) - 1
+        if k >= 0 and runs[k][1] > high:
+            high = runs[k][1]
+        high = max(high, past)
+        while high < len(text) and all(c.isalnum() or c in _LOCAL for c in text[high - 1 : high + 1]):
+            high += 1
+        out.append((low, high))
+        past = high
+    return _joined(out)
+
+
 def all_spans(text: str, field: Field) -> list[tuple[int, int, str]]:
     """Base spans, and those of the field that meet none of them."""
     base = base_spans(text)
@@ -253,18 +306,16 @@ def all_spans(text: str, field: Field) -> list[tuple[int, int, str]]:
     taken = sorted((s, e) for s, e, _ in base)
     starts = np.array([s for s, _ in taken], int)
     reach = np.maximum.accumulate(np.array([e for _, e in taken], int)) if taken else starts
-    out = list(base)
-    last = 0
-    for low, high in sorted(_regions(text)):
-        low = max(low, last)
+    def inside(low: int, high: int) -> bool:
         k = int(np.searchsorted(starts, low, "right")) - 1
-        if low >= high or k >= 0 and reach[k] >= high - 2:
-            continue  # inside a base span
+        return k >= 0 and reach[k] >= high - 2
+
+    out = list(base)
+    for low, high in _merged(text, [r for r in sorted(_regions(text)) if not inside(*r)]):
         for s, e, kind in field.decode(text, low, high):
             k = int(np.searchsorted(starts, e)) - 1
             if k < 0 or reach[k] <= s:
                 out.append((s, e, kind))
-        last = high
     return sorted(out, key=lambda x: (x[0], _RANK[x[2]], x[1]))
 
 
