@@ -4,7 +4,9 @@ A k-mer of tokens is chosen when the least of its inner pairs stands at its firs
 That depends on the k-mer alone, so an edit changes only the choices that touch it.  The chosen
 k-mers of least hash, with their positions, are the fingerprint; two fingerprints are alike by the
 share of anchors that meet at one common displacement.  Tokens are words; short texts use code
-points, and texts of middle length carry both, so a text that an edit makes shorter still compares.
+points, as do texts of any length without enough words, and texts of middle length carry both, so a
+text that an edit makes shorter still compares.  A short text's word anchors are kept beside for
+comparing it with a long one.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ ANCHORS = 64
 WORDS_FROM, CHARS_TO = 400, 800
 #: Tokens by which two anchors may be off their common displacement.
 SLACK = 64
+#: Code points for each word from which a text is not taken as words only.
+LONG_WORDS = 40
 #: Documents between two bounds of the order by id, and the most bounds.
 BUCKET_ROWS, MOST_BUCKETS = 1_000, 4_096
 _BITS = 31
@@ -62,19 +66,37 @@ def _anchors(tokens: Column) -> Column:
 
 
 def anchors(text: Column) -> Column:
-    """``words``, ``chars``: the anchors of a text by unit, null where the unit is not used.
+    """``words``, ``chars``, ``terms``: the anchors of a text by unit, null where the unit is not used.
 
-    A unit without a chosen k-mer has one anchor, the whole text.
+    A unit without a chosen k-mer has one anchor, the whole text; ``by_words`` and ``by_chars`` tell
+    whether it has real ones.  ``terms`` are the real word anchors of a text too short for ``words``.
     """
 
     def whole(cells: Column) -> Column:
         one = F.shiftleft(F.shiftrightunsigned(F.xxhash64(text), 64 - _BITS), _BITS)
-        return _bound(cells, lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(one)))
+        return F.when(F.size(cells) > 0, cells).otherwise(F.array(one))
 
     n = F.length(text)
-    words = F.when(n >= WORDS_FROM, whole(_anchors(F.split(text, "\\s+"))))
-    chars = F.when(n < CHARS_TO, whole(_anchors(F.split(text, ""))))
-    return F.struct(words.alias("words"), chars.alias("chars"))
+
+    def units(tokens: Column) -> Column:
+        def of_words(own: Column) -> Column:
+            wordless = (F.size(own) == 0) | (n > F.size(tokens) * LONG_WORDS)
+            chars = F.when((n < CHARS_TO) | wordless, _anchors(F.split(text, "")))
+
+            def of_chars(points: Column) -> Column:
+                return F.struct(
+                    F.when(n >= WORDS_FROM, whole(own)).alias("words"),
+                    F.when(points.isNotNull(), whole(points)).alias("chars"),
+                    F.when((n < WORDS_FROM) & (F.size(own) > 0), own).alias("terms"),
+                    (F.size(own) > 0).alias("by_words"),
+                    F.coalesce(F.size(points) > 0, F.lit(False)).alias("by_chars"),
+                )
+
+            return _bound(chars, of_chars)
+
+        return _bound(_anchors(tokens), of_words)
+
+    return _bound(F.split(text, "\\s+"), units)
 
 
 def fingerprint(found: Column) -> Column:
@@ -83,7 +105,7 @@ def fingerprint(found: Column) -> Column:
     def unit(mark: str, cells: Column) -> Column:
         return F.concat(F.lit(mark), F.array_join(F.transform(cells, lambda x: F.lower(F.hex(x))), "."))
 
-    return F.concat_ws("|", unit("w", found["words"]), unit("c", found["chars"]))
+    return F.concat_ws("|", unit("w", F.coalesce(found["words"], found["terms"])), unit("c", found["chars"]))
 
 
 def _alike(one: Column, other: Column) -> Column:
@@ -111,10 +133,19 @@ def _alike(one: Column, other: Column) -> Column:
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """0 to 1: anchors that meet, out of all whose hash both fingerprints could hold."""
-    words = F.when(one["words"].isNotNull() & other["words"].isNotNull(), _alike(one["words"], other["words"]))
-    chars = F.when(one["chars"].isNotNull() & other["chars"].isNotNull(), _alike(one["chars"], other["chars"]))
-    return F.coalesce(words, chars, F.lit(0.0))
+    """0 to 1: anchors that meet, out of all whose hash both fingerprints could hold.
+
+    They are compared in a unit in which both have real anchors: words, else code points, else words
+    of which one text has few.  Without one, texts are alike when they are equal.
+    """
+
+    def by(unit: str, real: str) -> Column:
+        return F.when(one[unit].isNotNull() & other[unit].isNotNull() & one[real] & other[real], _alike(one[unit], other[unit]))
+
+    either = lambda x: F.coalesce(x["words"], x["terms"])
+    mixed = F.when(one["by_words"] & other["by_words"], _alike(either(one), either(other)))
+    equal = F.when((one["words"] == other["words"]) | (one["chars"] == other["chars"]), F.lit(1.0))
+    return F.coalesce(by("words", "by_words"), by("chars", "by_chars"), mixed, equal, F.lit(0.0))
 
 
 def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
