@@ -44,6 +44,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The scratch tables of one job, dropped when a later one has taken their place.
+
+    ``store`` writes and reads back as ``stored`` does, ``drop`` deletes tables that are not read
+    any more, and leaving the ``with`` block deletes the rest, so what leaves it must be stored.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self._spark, self._folder = spark, scratch_path(spark, name)
+        self._tables: list[tuple[DataFrame, str]] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        _drop(self._spark, self._folder)
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = os.path.join(self._folder, f"{name}-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        out = self._spark.read.schema(df.schema).parquet(path)
+        self._tables.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table, path in self._tables:
+            if any(table is x for x in tables):
+                _drop(self._spark, path)
+        self._tables = [x for x in self._tables if not any(x[0] is t for t in tables)]
+
+
 def _mode(overwrite: bool) -> str:
     return "overwrite" if overwrite else "errorifexists"
 
