@@ -3,7 +3,8 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from test_simhash import brute_print, reach
+from test_near_copies import near, shingles
+from test_simhash import reach
 from test_winnowing import brute
 from tokenizers import Tokenizer
 
@@ -24,12 +25,9 @@ def test_pipeline_matches_brute_force(spark):
     kept = [r for r, s in zip(docs, trees.score(x), strict=True) if s >= 0.3]
     assert len(docs) > len(kept) > 0.7 * len(docs)
 
-    prints = {r.doc_id: brute_print(r.text) for r in kept}
-    root = reach(set(prints.values()), lambda a, b: (a ^ b).bit_count() <= 2)
-    least = {}
-    for r in kept:
-        least[root[prints[r.doc_id]]] = min(r.doc_id, least.get(root[prints[r.doc_id]], r.doc_id))
-    kept = [r for r in kept if r.doc_id in set(least.values())]
+    sets = {r.doc_id: frozenset(shingles(r.text and r.text.lower())) for r in kept}
+    root = reach(set(sets), lambda a, b: near(sets[a], sets[b]))
+    kept = [r for r in kept if root[r.doc_id] == r.doc_id]
 
     items = [(r.item_id, r.text, "") for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
     hits = {i: n for i, _, n, _ in brute([(r.doc_id, r.text) for r in kept], items)}

@@ -31,6 +31,23 @@ def with_keys(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     return docs.withColumns(dict(zip(names, keys(), strict=True))), names
 
 
+#: Keys that are broadcast to leave rows out: 2 million of two longs, 32 MB.
+MOST_KEYS = 1 << 21
+
+
+def by_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` with (``left_semi``) or without (``left_anti``) the rows of stored ``keys (k1, k2)``.
+
+    The keys are counted; few are broadcast, so that no text is shuffled, more meet the rows' own
+    keys in an equi-join.
+    """
+    keyed, names = with_keys(docs)
+    keys = keys.select(*KEYS).toDF(*names)
+    if keys.count() <= MOST_KEYS:
+        keys = F.broadcast(keys)
+    return keyed.join(keys, names, how).drop(*names)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string or binary column, end to end, and the n + 1 offsets of its values."""
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
