@@ -1,7 +1,11 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from tickloom.llm import suffix_dedup
 from tickloom.llm.suffix_dedup import remove_repeats
 
@@ -93,3 +97,26 @@ def test_blocks_one_at_a_time(spark):
 
 def test_empty_table(spark):
     assert run(spark, [], 400, 16) == []
+
+
+def test_a_large_group_is_refined_in_little_memory():
+    """30,000 spans that share a digit, in batches as they come from a shuffle."""
+    rng = np.random.default_rng(7)
+    n, length = 30_000, 655
+    spans = [rng.integers(97, 123, length, dtype=np.uint8).tobytes() for _ in range(n // 2)]
+    spans = [s[:300] + b"*" * 55 + s[355:] for s in spans]
+    spans += [s[:-1] + b"#" for s in spans]
+    at = suffix_dedup._place(np.full(n, 255), np.zeros(n, np.int64), np.full(n, 255))
+    columns = {"k1": np.arange(n), "k2": np.arange(n), "g": np.zeros(n, np.int64), "at": at, "salt": np.full(n, -1, np.int32)}
+    table = pa.table({**{k: pa.array(v) for k, v in columns.items()}, "span": pa.array(spans, pa.binary())})
+    batches = table.to_batches(max_chunksize=5_000)
+    tracemalloc.start()
+    base = pa.total_allocated_bytes()
+    most, marked = 0, 0
+    for out in suffix_dedup._refined(400, 16)(iter(batches)):
+        most = max(most, pa.total_allocated_bytes() - base)
+        marked += len(out)
+    peak = tracemalloc.get_traced_memory()[1] + most
+    tracemalloc.stop()
+    assert marked == n  # each span's first 255 windows have a twin
+    assert peak < 100 << 20

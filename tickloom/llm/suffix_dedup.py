@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +34,13 @@ from tickloom.llm.rows import KEYS, identified, runs, utf8
 from tickloom.sources.writers import stored
 
 THRESHOLD, SIDE = 400, 16
-#: Distinct spans of a digit that one task refines: 43 MB, and windows of one block of each at a time.
+#: Distinct spans of a digit that one task refines: 43 MB. Hashes are made of ``_SPANS`` bytes of them
+#: at a time; of the group only digests are kept, at most ``_OPEN`` windows' at once.
 HOT_GROUP = 65_536
+_SPANS, _OPEN, _SALTED = 1 << 18, 1 << 19, 256
 #: Parts that the rows of one digit are dealt into.
 PARTS = 1024
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _BLOCKS = "k1 long, k2 long, g long, c long, at long"
 _MARKS = "k1 long, k2 long, lo long, hi long, window long, check long"
 
@@ -146,61 +149,98 @@ def _twice(digit: np.ndarray) -> np.ndarray:
     return out
 
 
+def _stretches(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ranges (low to high, inclusive) of one row that follow on, joined."""
+    order = np.lexsort((low, row))
+    row, low, high = row[order], low[order], high[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (np.diff(row) != 0) | (low[1:] != high[:-1] + 1)
+    heads = np.flatnonzero(new)
+    tails = np.append(heads[1:], len(row)) - 1 if len(row) else heads
+    return row[heads], low[heads], high[tails]
+
+
+class _Group:
+    """Blocks of whole groups, in order of g, and the digests of parts of them."""
+
+    def __init__(self, part: pa.Table, threshold: int, width: int):
+        self.part, self.threshold, self.width = part, threshold, width
+        place, self.g = part.column("at").to_numpy(), part.column("g").to_numpy().view(np.uint64)
+        self.pos, self.lo, self.hi = _placed(place)
+        self.cuts = list(runs(np.concatenate([[0], np.cumsum(pc.binary_length(part.column("span")).to_numpy())]), _SPANS))
+
+    def start(self, row, number):
+        return self.pos[row] - self.width + 1 + number
+
+    def digests(self, row, number, per, salts):
+        """Which (row, number) have a suffix, and for each salt the digest of what the ``per`` windows from there share.
+
+        ``row`` is in order; the bytes of a few rows are hashed at a time.
+        """
+        start = self.start(row, number)
+        keep = np.maximum(start, self.lo[row]) <= np.minimum(start + per - 1, self.hi[row])
+        row, number, start = row[keep], number[keep], start[keep]
+        out = [np.empty(len(row), np.uint64) for _ in salts]
+        for i, j in self.cuts:
+            s, e = np.searchsorted(row, [i, j])
+            if s == e:
+                continue
+            data, at = utf8(self.part.column("span").slice(i, j - i).combine_chunks())
+            r = row[s:e]
+            here = start[s:e] + at[r - i] - self.lo[r]
+            digit = Rolling(data).ranges(here + per - 1, here + self.threshold)
+            for x, salt in zip(out, salts, strict=True):
+                x[s:e] = mixed(digit, salt) ^ mixed(self.g[r] + number[s:e].astype(np.uint64), salt + 1)
+        return row, number, *out
+
+
 def _refined(threshold: int, side: int):
     """Passes 2 and 3 over blocks sorted by g; of a salted group the windows themselves."""
-    width = side * side
+    width, parts = side * side, np.arange(side, dtype=np.int16)
 
-    def blocks(rolling, row, number, per, lo, hi, shift, pos, g, salt):
-        start = pos[row] - width + 1 + number
-        keep = (np.maximum(start, lo[row]) <= np.minimum(start + per - 1, hi[row]))
-        row, number, start = row[keep], number[keep], start[keep] + shift[row[keep]]
-        digit = rolling.ranges(start + per - 1, start + threshold)
-        return row, number, mixed(digit, salt) ^ mixed(g[row] + number.astype(np.uint64), salt + 1)
+    def marks(part: pa.Table, owner, low, high, key=None, check=None) -> pa.RecordBatch:
+        took = part.select(KEYS).take(pa.array(owner))
+        nothing = pa.nulls(len(owner), pa.int64())
+        columns = [*(took.column(x).combine_chunks() for x in KEYS), pa.array(low), pa.array(high), nothing if key is None else pa.array(key), nothing if check is None else pa.array(check)]
+        return pa.RecordBatch.from_arrays(columns, names=["k1", "k2", "lo", "hi", "window", "check"])
 
     def of(part: pa.Table) -> pa.RecordBatch:
-        part = part.combine_chunks().to_batches()[0]
-        data, at = utf8(part.column("span"))
-        place, g = part.column("at").to_numpy(), part.column("g").to_numpy().view(np.uint64)
-        hot = part.column("salt").to_numpy() >= 0
-        pos, lo, hi = _placed(place)
-        rolling, shift = Rolling(data), at[:-1] - lo
-        args = (lo, hi, shift, pos, g)
-        row = np.repeat(np.flatnonzero(~hot), side)
-        row, number, digit = blocks(rolling, row, np.tile(np.arange(side) * side, len(row) // side), side, *args, 4)
-        open_ = np.flatnonzero(_twice(digit))
-        r, s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for now in [open_] if len(part) <= 4096 else [open_[number[open_] == n * side] for n in range(side)]:
-            each, fine, digit = blocks(rolling, np.repeat(row[now], side), (number[now][:, None] + np.arange(side)).ravel(), 1, *args, 6)
+        group = _Group(part, threshold, width)
+        row, number, digit = group.digests(np.repeat(np.arange(len(part), dtype=np.int32), side), np.tile(parts * side, len(part)), side, [4])
+        open_ = _twice(digit)
+        row, number = row[open_], number[open_]
+        del digit, open_
+        found = [(np.zeros(0, np.int64),) * 3]
+        # Windows of different blocks are never equal, so the blocks can be taken one number at a time.
+        for now in [slice(None)] if len(row) * side <= _OPEN else [number == n * side for n in range(side)]:
+            each, fine, digit = group.digests(np.repeat(row[now], side), (number[now][:, None] + parts).ravel(), 1, [6])
             met = _twice(digit)
-            r.append(each[met])
-            s.append(pos[each[met]] - width + 1 + fine[met])
-        r, s = np.concatenate(r), np.concatenate(s)
-        order = np.lexsort((s, r))
-        r, s = r[order], s[order]
-        row, number, digit = blocks(rolling, np.repeat(np.flatnonzero(hot), width), np.tile(np.arange(width), int(hot.sum())), 1, *args, 6)
-        start = pos[row] - width + 1 + number
-        new = np.ones(len(r), bool)
-        new[1:] = (np.diff(r) != 0) | (np.diff(s) != 1)
-        heads = np.flatnonzero(new)
-        tails = np.append(heads[1:], len(r)) - 1 if len(r) else heads
-        owner = pa.array(np.concatenate([r[heads], row]))
-        low, high = np.concatenate([s[heads], start]), np.concatenate([s[tails], start]) + threshold
-        key, check = signed(digit), signed(blocks(rolling, row, number, 1, *args, 8)[2])
-        nothing = pa.nulls(len(heads), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [*(part.column(x).take(owner) for x in KEYS), pa.array(low), pa.array(high), *(pa.concat_arrays([nothing, pa.array(x)]) for x in (key, check))],
-            names=["k1", "k2", "lo", "hi", "window", "check"],
-        )
+            at = group.start(each[met], fine[met])
+            found.append(_stretches(each[met], at, at))
+        r, low, high = _stretches(*(np.concatenate(x) for x in zip(*found, strict=True)))
+        return marks(part, r, low, high + threshold)
+
+    def windows(part: pa.Table) -> pa.RecordBatch:
+        group = _Group(part, threshold, width)
+        row, number, key, check = group.digests(np.repeat(np.arange(len(part)), width), np.tile(np.arange(width), len(part)), 1, [6, 8])
+        start = group.start(row, number)
+        return marks(part, row, start, start + threshold, signed(key), signed(check))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
         for batch in batches:
+            salted = batch.column("salt").to_numpy() >= 0
+            if salted.any():  # blocks of a salted group do not need one another
+                hot = pa.Table.from_batches([batch]).filter(pa.array(salted))
+                for s in range(0, len(hot), _SALTED):
+                    yield windows(hot.slice(s, _SALTED))
+                batch = batch.filter(pa.array(~salted))
+            if not len(batch):
+                continue
             now = pa.Table.from_batches([batch]) if left is None else pa.concat_tables([left, pa.Table.from_batches([batch])])
             g = now.column("g").to_numpy()
-            whole = int(np.searchsorted(g, g[-1])) if len(g) else 0
+            whole = int(np.searchsorted(g, g[-1]))
             left = now.slice(whole)
-            if len(left) and left.column("salt")[0].as_py() >= 0:  # blocks of a salted group do not need one another
-                whole, left = len(now), None
             for s, e in _group_runs(g[:whole]):
                 yield of(now.slice(s, e - s))
         if left is not None and len(left):
