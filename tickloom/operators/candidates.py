@@ -11,16 +11,9 @@ from tickloom import schema as S
 from tickloom.config import GapSetupConfig, IndicatorSetupConfig
 from tickloom.functions.clock import NS, ns_to_offset_iso, ns_to_ts
 from tickloom.functions.prices import dec, overlaps_zone, round_to_tick, stable_id
+from tickloom.operators.blocks import numbered, own_rows, with_halo
 from tickloom.operators.gaps import gap_zones
-from tickloom.operators.indicators import (
-    atr,
-    bar_number,
-    bar_window,
-    effort_ratios,
-    macd,
-    rsi,
-    with_entry_bar,
-)
+from tickloom.operators.indicators import atr, effort_ratios, macd, rsi, with_entry_bar
 from tickloom.operators.matching import greedy_match
 
 
@@ -34,9 +27,12 @@ def _targets(entry: Column, risk: Column, up: Column, ratios, tick: Decimal) ->
 
 def failed_gap_pairs(zone_bars: DataFrame, signal_bars: DataFrame, cfg: GapSetupConfig) -> DataFrame:
     """Every (signal bar, zone) that passes all tests which do not depend on zone use."""
-    bars = with_entry_bar(
-        effort_ratios(signal_bars, cfg.range_window, cfg.volume_window), cfg.signal_bar_seconds
-    ).withColumn("bar_no", bar_number(signal_bars))
+    blocked = with_halo(numbered(signal_bars), max(cfg.range_window, cfg.volume_window), 1)
+    bars = own_rows(
+        with_entry_bar(
+            effort_ratios(blocked, cfg.range_window, cfg.volume_window), cfg.signal_bar_seconds
+        )
+    )
     # Gates on exact sums: ratio > mult  <=>  value * n > mult * sum.
     effort = (
         F.col("effort_range_ratio").isNotNull()
@@ -138,13 +134,9 @@ def atr_reason(mult: Decimal) -> str:
 def indicator_candidates(bars: DataFrame, cfg: IndicatorSetupConfig) -> DataFrame:
     """Setups in the direction of RSI and MACD with a stop some ATRs away."""
     n, tick = cfg.atr_window, cfg.tick_size
-    based = with_entry_bar(
-        bars.withColumns(
-            {"bar_no": bar_number(bars), "close_before": F.lag(dec(F.col("close"))).over(bar_window(bars))}
-        ),
-        cfg.bar_seconds,
-    )
-    rated = macd(atr(rsi(based, cfg.rsi_period), n), cfg.macd_fast, cfg.macd_slow, cfg.macd_signal)
+    blocked = with_halo(numbered(bars), max(cfg.rsi_period, n), 1)
+    based = own_rows(atr(rsi(with_entry_bar(blocked, cfg.bar_seconds), cfg.rsi_period), n))
+    rated = macd(based, cfg.macd_fast, cfg.macd_slow, cfg.macd_signal)
     line, trigger = F.round("macd", 9), F.round("macd_signal", 9)
     sided = rated.withColumn("side", indicator_side(F.round("rsi", 9), line, trigger)).filter(
         (F.col("bar_no") >= cfg.warmup)

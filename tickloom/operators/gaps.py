@@ -7,26 +7,19 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.clock import NS, floor_div, ns_to_offset_iso
 from tickloom.functions.prices import price_text, stable_id, zone_mid
+from tickloom.operators.blocks import block_window, in_blocks, numbered
 
 # Bars per node of the fill search; a node's children travel as one bounded array.
 _FAN = 64
 
 
-def gap_zones(bars: DataFrame, seconds: int, session_scoped: bool = True) -> DataFrame:
-    """Zones between a bar and the bar two before it, usable once the later bar has closed.
-
-    With ``session_scoped`` the three bars share their session and the window is partitioned by
-    it; otherwise by symbol. Input are bars, whose number per symbol is bounded by time alone.
-    """
-    keys = ["symbol", "session_id"] if session_scoped else ["symbol"]
-    w = Window.partitionBy(*keys).orderBy("bar_start_ns")
+def _zones(placed: DataFrame, keys: list[str], seconds: int) -> DataFrame:
+    """Zones of bars that carry high and low of the bar two before as ``_far``."""
     high, low = F.col("high"), F.col("low")
     far_high, far_low = F.col("_far.high"), F.col("_far.low")
     kind = F.when(low > far_high, "BULL").when(high < far_low, "BEAR")
-    zoned = (
-        bars.select(*keys, "bar_start_ns", "high", "low")
-        .withColumn("_far", F.lag(F.struct("high", "low"), 2).over(w))
-        .select(
+    return (
+        placed.select(
             *keys,
             F.col("bar_start_ns").alias("formed_ns"),
             (F.col("bar_start_ns") + seconds * NS).alias("available_ns"),
@@ -37,6 +30,25 @@ def gap_zones(bars: DataFrame, seconds: int, session_scoped: bool = True) -> Dat
         .filter(F.col("kind").isNotNull())
         .withColumn("zone_mid", zone_mid(F.col("zone_low"), F.col("zone_high")))
     )
+
+
+def gap_zones(bars: DataFrame, seconds: int, session_scoped: bool = True) -> DataFrame:
+    """Zones between a bar and the bar two before it, usable once the later bar has closed.
+
+    With ``session_scoped`` the three bars share their session and the window is partitioned by
+    it; otherwise it runs over blocks of a symbol's bars.
+    """
+    far = F.struct("high", "low")
+    if session_scoped:
+        keys = ["symbol", "session_id"]
+        w = Window.partitionBy(*keys).orderBy("bar_start_ns")
+        placed = bars.withColumn("_far", F.lag(far, 2).over(w))
+    else:
+        keys = ["symbol"]
+        number = [c for c in ("bar_no",) if c in bars.columns]
+        plain = bars.select(*keys, "bar_start_ns", "high", "low", *number)
+        placed = in_blocks(plain, lambda df: df.withColumn("_far", F.lag(far, 2).over(block_window(df))), 2)
+    zoned = _zones(placed, keys, seconds)
     if not session_scoped:
         return zoned
     return zoned.withColumn(
@@ -79,21 +91,16 @@ def gap_fill_status(bars: DataFrame, seconds: int) -> DataFrame:
 
     The search climbs and descends a tree of 64-bar nodes: at each level a zone meets one node
     through an equi-join, so work grows with zones times tree height, never zones times bars.
-    The height follows the bars. They are read several times; pass stored ones.
+    The height follows the bars, which are numbered and stored once.
     """
-    w = Window.partitionBy("symbol").orderBy("bar_start_ns")
-    numbered = bars.select(
-        "symbol", "bar_start_ns", "high", "low", (F.row_number().over(w) - 1).cast("bigint").alias("bar_no")
-    )
-    positions = numbered.select("symbol", F.col("bar_start_ns").alias("formed_ns"), "bar_no")
-    zones = gap_zones(bars, seconds, session_scoped=False).join(
-        positions, ["symbol", "formed_ns"]
-    )
-    level = numbered.select(
+    bars = numbered(bars.select("symbol", "bar_start_ns", "high", "low"))
+    far = in_blocks(bars, lambda df: df.withColumn("_far", F.lag(F.struct("high", "low"), 2).over(block_window(df))), 2)
+    zones = _zones(far, ["symbol", "bar_no"], seconds)
+    level = bars.select(
         "symbol", F.col("bar_no").alias("node"), F.col("low").alias("lo"), F.col("high").alias("hi")
     )
     # As many levels as the longest symbol needs for one root; one number comes to the driver.
-    last = numbered.agg(F.max("bar_no")).first()[0] or 0
+    last = bars.agg(F.max("bar_no")).first()[0] or 0
     tree = []
     while not tree or _FAN ** len(tree) <= last:
         level = _nodes(level)
@@ -127,8 +134,8 @@ def gap_fill_status(bars: DataFrame, seconds: int) -> DataFrame:
             *(c for c in found.columns if c != "hit"),
             F.when(deeper, got).otherwise(F.col("hit")).alias("hit"),
         )
-    ends = numbered.groupBy("symbol").agg(F.max("bar_start_ns").alias("last_ns"))
-    fills = numbered.select(
+    ends = bars.groupBy("symbol").agg(F.max("bar_start_ns").alias("last_ns"))
+    fills = bars.select(
         "symbol", F.col("bar_no").alias("hit"), F.col("bar_start_ns").alias("fill_ns")
     )
     return (

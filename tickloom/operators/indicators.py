@@ -1,7 +1,8 @@
 """Bar indicators.
 
-Windows are partitioned by symbol. Their input are bars, so a partition holds at most
-(time span / bar width) rows however many trades a symbol has.
+Windows hold one block of a symbol's bars and the few rows of its neighbours that they reach
+(``operators.blocks``). A function takes plain bars, or bars that its caller has put in blocks for
+several indicators at once.
 """
 
 from __future__ import annotations
@@ -12,22 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.prices import dec
+from tickloom.operators.blocks import bar_order, block_window, in_blocks, numbered
 
 # Block ends that an average is folded over: 1e-18 to this power takes the largest double to zero.
 _REACH = 36
 
 
-def bar_window(df: DataFrame):
-    """Bars of a symbol in time order."""
-    tie = ["session_id"] if "session_id" in df.columns else []
-    return Window.partitionBy("symbol").orderBy("bar_start_ns", *tie)
-
-
-def bar_number(df: DataFrame) -> Column:
-    """0-based index of a bar in its symbol."""
-    return (F.row_number().over(bar_window(df)) - 1).cast("bigint")
-
-
 def bar_range() -> Column:
     return dec(F.col("high")) - dec(F.col("low"))
 
@@ -41,7 +32,12 @@ def effort_ratios(
     window is enough (``baseline_range`` and ``baseline_volume`` are then plain trailing means).
     The exact sums stay in ``range_sum`` and ``volume_sum`` for gates that must not round.
     """
-    w = bar_window(bars)
+    compute = lambda df: _effort(df, range_window, volume_window, strict)
+    return in_blocks(bars, compute, max(range_window, volume_window))
+
+
+def _effort(bars: DataFrame, range_window: int, volume_window: int, strict: bool) -> DataFrame:
+    w = block_window(bars)
     wr, wv = w.rowsBetween(-range_window, -1), w.rowsBetween(-volume_window, -1)
     out = bars.withColumn("bar_range", bar_range()).withColumns(
         {
@@ -77,18 +73,18 @@ def effort_ratios(
     ).drop("_nr", "_nv", "_lr", "_lv")
 
 
-def _with_number(df: DataFrame) -> DataFrame:
-    return df if "bar_no" in df.columns else df.withColumn("bar_no", bar_number(df))
-
-
 def _close_before(df: DataFrame) -> DataFrame:
-    before = F.lag(dec(F.col("close"))).over(bar_window(df))
+    before = F.lag(dec(F.col("close"))).over(block_window(df))
     return df if "close_before" in df.columns else df.withColumn("close_before", before)
 
 
 def rsi(bars: DataFrame, period: int = 14) -> DataFrame:
     """RSI with simple averages of the last ``period`` changes; null until there are enough."""
-    frame = bar_window(bars).rowsBetween(-(period - 1), 0)
+    return in_blocks(bars, lambda df: _rsi(df, period), period)
+
+
+def _rsi(bars: DataFrame, period: int) -> DataFrame:
+    frame = block_window(bars).rowsBetween(-(period - 1), 0)
     change = dec(F.col("close")) - F.col("close_before")
     sums = _close_before(bars).withColumns(
         {
@@ -121,22 +117,21 @@ def emas(df: DataFrame, wanted: dict[str, tuple[str, int]]) -> DataFrame:
     blocks: the block length puts r^block under 1e-18, so the weight of anything older takes
     every double to zero. All averages share the block of the slowest one.
     """
-    numbered = _with_number(df)
+    placed_in = numbered(df)
     direct = {out: F.col(c).cast("double") for out, (c, n) in wanted.items() if n == 1}
     slow = {out: cn for out, cn in wanted.items() if cn[1] > 1}
     if not slow:
-        return numbered.withColumns(direct)
+        return placed_in.withColumns(direct)
     r_of = {out: (n - 1.0) / (n + 1.0) for out, (_, n) in slow.items()}
     block = math.ceil(18 * math.log(10) / -math.log(max(r_of.values())))
     if block * -math.log(min(r_of.values())) > 600:
         # Weights of the fastest one would leave the range of a double: take them apart.
         first = min(slow, key=lambda out: slow[out][1])
         rest = {out: cn for out, cn in wanted.items() if out != first}
-        return emas(emas(numbered, {first: wanted[first]}), rest)
-    tie = [F.col("session_id")] if "session_id" in df.columns else []
+        return emas(emas(placed_in, {first: wanted[first]}), rest)
     inside = (
         Window.partitionBy("symbol", "_block")
-        .orderBy("bar_start_ns", *tie)
+        .orderBy(*bar_order(df))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     past = Window.partitionBy("symbol").orderBy("_block").rowsBetween(1 - _REACH, 0)
@@ -151,7 +146,7 @@ def emas(df: DataFrame, wanted: dict[str, tuple[str, int]]) -> DataFrame:
         carry[f"_c_{out}"] = _folded(ends_so_far, r**block)
         tail = F.coalesce(F.col(f"_c_{out}") * F.pow(F.lit(r), k + 1), F.lit(0.0))
         total[out] = F.col(f"_l_{out}") + tail
-    placed = numbered.withColumns(
+    placed = placed_in.withColumns(
         {
             "_block": F.floor(F.col("bar_no") / block),
             "_k": (F.col("bar_no") % block).cast("double"),
@@ -162,7 +157,7 @@ def emas(df: DataFrame, wanted: dict[str, tuple[str, int]]) -> DataFrame:
     )
     ends = ends.select("symbol", "_block", *(c.alias(name) for name, c in carry.items()))
     joined = placed.join(ends, ["symbol", "_block"], "left").withColumns({**total, **direct})
-    return joined.select(*numbered.columns, *(out for out in wanted if out not in numbered.columns))
+    return joined.select(*placed_in.columns, *(out for out in wanted if out not in placed_in.columns))
 
 
 def ema(df: DataFrame, col: str, period: int, out: str) -> DataFrame:
@@ -180,9 +175,13 @@ def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> Da
 def atr(bars: DataFrame, period: int = 14) -> DataFrame:
     """Mean true range of the last ``period`` bars; null early on or when one of them is not
     positive. The exact sum stays in ``true_range_sum``."""
-    frame = bar_window(bars).rowsBetween(-(period - 1), 0)
+    return in_blocks(bars, lambda df: _atr(df, period), period)
+
+
+def _atr(bars: DataFrame, period: int) -> DataFrame:
+    frame = block_window(bars).rowsBetween(-(period - 1), 0)
     high, low, before = dec(F.col("high")), dec(F.col("low")), F.col("close_before")
-    out = _with_number(_close_before(bars)).withColumn(
+    out = _close_before(bars).withColumn(
         "true_range", F.greatest(high - low, F.abs(high - before), F.abs(low - before))
     )
     usable = (F.col("bar_no") >= period) & (F.min("true_range").over(frame) > 0)
@@ -194,7 +193,11 @@ def atr(bars: DataFrame, period: int = 14) -> DataFrame:
 
 def with_entry_bar(bars: DataFrame, seconds: int) -> DataFrame:
     """Add start and open of the next bar, null unless it follows at once in the same session."""
-    w = bar_window(bars)
+    return in_blocks(bars, lambda df: _entry_bar(df, seconds), 0, 1)
+
+
+def _entry_bar(bars: DataFrame, seconds: int) -> DataFrame:
+    w = block_window(bars)
     cols = ["bar_start_ns", "open"] + (["session_id"] if "session_id" in bars.columns else [])
     out = bars.withColumn("_next", F.lead(F.struct(*cols)).over(w))
     follows = F.col("_next.bar_start_ns") == F.col("bar_start_ns") + seconds * 1_000_000_000

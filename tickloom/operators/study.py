@@ -10,8 +10,9 @@ from tickloom.functions.clock import NS, local_date
 from tickloom.functions.prices import contracts, overlaps_zone
 from tickloom.functions.sessions import in_market_hours
 from tickloom.operators.bars import daily_ranges
+from tickloom.operators.blocks import numbered, own_rows, with_halo
 from tickloom.operators.gaps import gap_zones
-from tickloom.operators.indicators import bar_number, effort_ratios, with_entry_bar
+from tickloom.operators.indicators import effort_ratios, with_entry_bar
 from tickloom.operators.matching import greedy_match
 
 
@@ -82,8 +83,8 @@ def study_bars(bars: DataFrame, cfg: StudyConfig) -> DataFrame:
     """Signal bars with baselines, number, regime, entry bar and whether they may signal."""
     regimes = volatility_regimes(bars, cfg) if cfg.use_regimes else None
     n = cfg.baseline_bars
-    rated = with_entry_bar(effort_ratios(bars, n, n, strict=False), cfg.signal_bar_seconds)
-    rated = rated.withColumn("bar_no", bar_number(bars))
+    blocked = with_halo(numbered(bars), n, 1)
+    rated = own_rows(with_entry_bar(effort_ratios(blocked, n, n, strict=False), cfg.signal_bar_seconds))
     hours = in_market_hours(
         F.col("bar_start_ns"), cfg.market_tz, cfg.first_hour, cfg.last_hour, cfg.skip_open_bar
     )
