@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 from helpers import NS, bars, candidate, candidates, ns, tape
+from pyspark.sql import functions as F
 
 from tickloom import schema as S
 from tickloom.config import ConfigError, ExecutionConfig, StudyConfig, TapeConfig
@@ -271,3 +272,49 @@ def test_study_config():
             StudyConfig(**bad)
     with pytest.raises(ConfigError):
         ExecutionConfig(point_value=Decimal(0))
+
+
+def test_first_touched_bucket_matches_a_walk(spark):
+    rng = random.Random(11)
+    keys = ["symbol", "cme_session_id", "stop_price", "target_price", "task"]
+    walk = {}
+    for symbol in ("A", "B"):
+        price = 100.0
+        for no in range(-300, 5_000):
+            price += rng.choice([-0.25, 0.0, 0.25])
+            if rng.random() < 0.7:
+                walk[symbol, no] = (price - 0.25 * rng.randint(0, 2), price + 0.25, rng.randint(1, 5))
+    buckets = spark.createDataFrame(
+        [(s, "X", no, lo, hi, n) for (s, no), (lo, hi, n) in walk.items()],
+        "symbol string, cme_session_id string, no long, lo double, hi double, n long",
+    )
+    tasks = []
+    for k in range(300):
+        start = rng.randint(-320, 4_900)
+        width = rng.choice([0, -3, 1, 5, 63, 64, 65, 130, 1_380, 4_500])
+        mid = 100 + rng.randint(-60, 60) / 4
+        tasks.append(("AB"[k % 2], "X", mid - rng.randint(1, 60) / 4, mid + rng.randint(1, 60) / 4, k, start, start + width))
+    tasks.append(("C", "X", 1.0, 2.0, 999, 0, 50))
+    df = spark.createDataFrame(
+        tasks, "symbol string, cme_session_id string, stop_price double, target_price double, task int, from_no long, to_no long"
+    )
+    touched = lambda lo, hi: (lo <= F.col("stop_price")) | (hi >= F.col("target_price"))
+    got = {r.task: (r.inner_n, r.last_no, r.hit_no) for r in labels_operator.first_touched(df, buckets, keys, touched).collect()}
+    want = {}
+    for symbol, _, stop, target, k, start, end in tasks:
+        seen = [(no, *walk[symbol, no]) for no in range(start, end) if (symbol, no) in walk]
+        if seen:
+            hits = [no for no, lo, hi, _ in seen if lo <= stop or hi >= target]
+            want[k] = (sum(x[3] for x in seen), seen[-1][0], min(hits, default=None))
+    assert {k: v for k, v in got.items() if v[0]} == want
+    assert len({v[2] for v in want.values()}) > 50
+
+
+def test_a_task_meets_four_nodes_whatever_its_window(spark):
+    rows = [(a, a + n) for a in (-130, -1, 0, 5, 63, 4_095) for n in (0, 1, 2, 20, 63)]
+    df = spark.createDataFrame(rows, "a long, b long").select("a", "b", labels_operator.tree_places(F.col("a"), F.col("b")).alias("p"))
+    for r in df.collect():
+        assert len(r.p) <= 4
+        met = [x.node for x in r.p if x.level == 1]
+        met += [n for x in r.p if x.level == 2 for n in range(x.node * labels_operator.FAN, (x.node + 1) * labels_operator.FAN) if r.a < n < r.b]
+        assert sorted(met) == list(range(r.a, r.b + 1))

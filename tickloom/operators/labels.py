@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schema as S
 from tickloom.config import ExecutionConfig
-from tickloom.functions.clock import NS, bucket_start, ns_to_ts
+from tickloom.functions.clock import NS, bucket_start, floor_div, ns_to_ts
 from tickloom.functions.ordering_keys import causal_key, guard_nulls
 from tickloom.functions.prices import barrier_geometry, dec
 from tickloom.sources.writers import stored
@@ -69,6 +69,95 @@ def _tasks(windows: DataFrame) -> DataFrame:
     return windows.filter(F.col("verdict").isNull()).select(*_TASK).distinct()
 
 
+#: Buckets under a node, and nodes under its parent: a session of any length is a few parents.
+FAN = 64
+
+
+def extreme_tree(buckets: DataFrame) -> DataFrame:
+    """``level, node, kids`` over ``buckets`` numbered ``no`` by symbol and session.
+
+    A node holds its ``FAN`` children as one array of (no, lo, hi, n, last): price range, trades and
+    last bucket with trades. Level 1 are nodes over buckets, level 2 their parents.
+    """
+    keys = ["symbol", "cme_session_id"]
+
+    def above(below: DataFrame) -> DataFrame:
+        kid = F.struct("no", "lo", "hi", "n", "last")
+        return below.groupBy(*keys, floor_div(F.col("no"), FAN).alias("node")).agg(
+            F.array_sort(F.collect_list(kid)).alias("kids"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+            F.when(F.count_if(F.col("n").isNull()) == 0, F.sum("n")).alias("n"),
+            F.max("last").alias("last"),
+        )
+
+    first = stored(above(buckets.withColumn("last", F.col("no"))), "extreme-nodes")
+    second = above(first.select(*keys, F.col("node").alias("no"), "lo", "hi", "n", "last"))
+    out = [d.select(*keys, F.lit(k).alias("level"), "node", "kids") for k, d in ((1, first), (2, second))]
+    return out[0].unionByName(out[1])
+
+
+def tree_places(a: Column, b: Column) -> Column:
+    """The nodes ``(level, node)`` that a window from node ``a`` to node ``b`` of level 1 meets.
+
+    Both ends, and the parents of what lies between: at most four for up to ``FAN`` nodes.
+    """
+    nothing = F.array().cast("array<struct<level:int,node:bigint>>")
+    place = lambda level, node: F.struct(F.lit(level).alias("level"), node.alias("node"))
+    first = floor_div(a + 1, FAN)
+    parents = F.transform(F.sequence(first, F.greatest(first, floor_div(b - 1, FAN))), lambda p: place(2, p))
+    return F.concat(
+        F.array(place(1, a)),
+        F.when(b > a, F.array(place(1, b))).otherwise(nothing),
+        F.when(b > a + 1, parents).otherwise(nothing),
+    )
+
+
+def first_touched(tasks: DataFrame, buckets: DataFrame, keys: list[str], touched) -> DataFrame:
+    """First touched bucket (``hit_no``), last bucket and trade count in ``[from_no, to_no)`` of each task.
+
+    A task meets at most four nodes, whatever its window holds: the two at the window's ends, with
+    their buckets, and the parents of those between, with the nodes; if a node between is the first
+    that is touched, one more join finds the bucket in it.
+    """
+    tree = extreme_tree(buckets)
+    low, high = F.col("from_no"), F.col("to_no")
+    ends = tasks.withColumns({"_a": floor_div(low, FAN), "_b": floor_div(high - 1, FAN)})
+    a, b = F.col("_a"), F.col("_b")
+    edge = F.col("level") == 1
+    inside = F.filter(
+        F.col("kids"),
+        lambda k: (k["no"] >= F.when(edge, low).otherwise(a + 1)) & (k["no"] < F.when(edge, high).otherwise(b)),
+    )
+    count = F.aggregate(F.col("_in"), F.lit(0).cast("bigint"), lambda n, k: n + k["n"])
+    met = (
+        ends.filter(low < high)
+        .withColumn("_asked", F.explode(tree_places(a, b)))
+        .select(*keys, "_a", F.col("_asked.level").alias("level"), F.col("_asked.node").alias("node"), "from_no", "to_no", "_b")
+        .join(tree, ["symbol", "cme_session_id", "level", "node"])
+        .withColumn("_in", inside)
+        .withColumn("_first", F.get(F.filter("_in", lambda k: touched(k["lo"], k["hi"])), F.lit(0))["no"])
+        .withColumn("_n", guard_nulls(count, count))
+        .groupBy(*keys)
+        .agg(
+            F.sum("_n").alias("inner_n"),
+            F.max(F.array_max(F.transform("_in", lambda k: k["last"]))).alias("last_no"),
+            F.min(F.when(edge & (F.col("node") == a), F.col("_first"))).alias("_head"),
+            F.min(F.when(~edge, F.col("_first"))).alias("_between"),
+            F.min(F.when(edge & (F.col("node") != a), F.col("_first"))).alias("_tail"),
+        )
+    )
+    # A task without a node between that counts asks for one that does not exist, each for its own.
+    seek = F.when(F.col("_head").isNull(), F.col("_between"))
+    nodes = tree.filter("level = 1").select("symbol", "cme_session_id", F.col("node").alias("_seek"), "kids")
+    found = met.withColumn("_seek", F.coalesce(seek, -1 - F.abs(F.xxhash64(*keys)) % (1 << 40))).join(
+        nodes, ["symbol", "cme_session_id", "_seek"], "left"
+    )
+    deep = F.get(F.filter("kids", lambda k: touched(k["lo"], k["hi"])), F.lit(0))["no"]
+    hit = F.coalesce("_head", F.when(seek.isNotNull(), deep), "_tail")
+    return found.select(*keys, "inner_n", "last_no", hit.alias("hit_no"))
+
+
 def barrier_events(
     tasks: DataFrame,
     tape: DataFrame,
@@ -79,8 +168,9 @@ def barrier_events(
 
     Two passes over the tape instead of one row per (candidate, trade) pair:
 
-    1. Trades are aggregated to short buckets (price range, count, last price). Each task scans
-       the buckets strictly inside its window for the first one whose range touches a barrier.
+    1. Trades are aggregated to short buckets (price range, count, last price), and these to a tree
+       of ranges, in which each task finds the first bucket strictly inside its window that touches
+       a barrier (``first_touched``).
     2. Only the trades of that bucket, of the last one with trades and of the two at the window's
        edges are joined, through an equi-join on (symbol, session, bucket). The distinct buckets
        are counted; up to ``MOST_PROBED`` of them are broadcast to drop other trades before any
@@ -103,27 +193,30 @@ def barrier_events(
             F.when(F.count_if("_broken") == 0, F.count(F.lit(1))).alias("n"),
         )
     )
+    width = bucket_seconds * NS
     spanned = tasks.withColumns(
         {
             "first_bucket": bucket_start(F.col("start_ns"), bucket_seconds),
             "last_bucket": bucket_start(F.col("end_ns"), bucket_seconds),
         }
-    ).alias("t")
-    inside = (F.col("bucket") > F.col("first_bucket")) & (F.col("bucket") < F.col("last_bucket"))
-    same = [F.col(f"t.{c}") == F.col(f"b.{c}") for c in join_on]
+    )
+    ranged = spanned.withColumns(
+        {"from_no": floor_div(F.col("first_bucket"), width) + 1, "to_no": floor_div(F.col("last_bucket"), width)}
+    )
     stop, target, side = F.col("stop_price"), F.col("target_price"), F.col("entry_side")
-    touched = _hit(side, F.col("lo"), F.col("hi"), stop, target)
-    # A session has at most (session length / bucket) buckets, however many trades it holds.
-    coarse = (
-        spanned.join(buckets.alias("b"), [*same, inside], "left")
-        .groupBy(*(F.col(f"t.{c}").alias(c) for c in keys), "first_bucket", "last_bucket")
-        .agg(
-            F.sum(
-                F.when(F.col("bucket").isNotNull(), guard_nulls(F.col("n"), F.col("n")))
-            ).alias("inner_n"),
-            F.min(F.when(touched, F.col("bucket"))).alias("hit_bucket"),
-            F.max("bucket").alias("inner_last"),
-        )
+    inner = first_touched(
+        ranged.select(*keys, "from_no", "to_no"),
+        buckets.withColumn("no", floor_div(F.col("bucket"), width)),
+        keys,
+        lambda lo, hi: _hit(side, lo, hi, stop, target),
+    )
+    coarse = spanned.join(inner, keys, "left").select(
+        *keys,
+        "first_bucket",
+        "last_bucket",
+        "inner_n",
+        (F.col("hit_no") * width).alias("hit_bucket"),
+        (F.col("last_no") * width).alias("inner_last"),
     )
     wanted = F.array_distinct(
         F.array_compact(F.array("first_bucket", "last_bucket", "hit_bucket", "inner_last"))
