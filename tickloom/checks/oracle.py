@@ -866,6 +866,64 @@ _FINAL["chart_trades"] = (
     "FROM dirty WHERE symbol = 'S1' AND ts_event IS NOT NULL AND event_id % 19 <> 3"
 )
 
+_FINAL["scan_many_files"] = (
+    "SELECT ts_recv, ts_event, publisher_id, instrument_id, action, side, round(price, 6) AS price, size, sequence, "
+    "symbol, row_number() OVER (ORDER BY mbo.source_row_number) - 1 AS source_row_number FROM mbo"
+)
+_FINAL["stream_trade_tape"] = "SELECT * EXCLUDE (source_row_number) FROM tape"
+_FINAL["stream_volume_report"] = _FINAL["volume_report"]
+_FINAL["tape_day_replaced"] = "SELECT * FROM tape"
+_CTE["spoiled"] = """
+SELECT * REPLACE (
+  CASE WHEN event_id % 127 = 7 THEN -price WHEN event_id % 149 = 11 THEN NULL WHEN event_id % 131 <> 8 THEN price END AS price,
+  CASE WHEN event_id % 137 = 9 THEN '' WHEN event_id % 151 <> 12 THEN symbol END AS symbol,
+  CASE WHEN event_id % 139 <> 10 THEN ts_recv END AS ts_recv)
+FROM dirty"""
+_FINAL["all_invalid_reasons"] = """
+SELECT reason, count(*) AS rows FROM (
+  SELECT unnest([
+    CASE WHEN NOT coalesce(action IN ('A','C','M','R','T','F'), false) THEN 'invalid_action' END,
+    CASE WHEN NOT coalesce(side IN ('A','B','N'), false) THEN 'invalid_side' END,
+    CASE WHEN ts_event IS NULL THEN 'invalid_ts_event' END,
+    CASE WHEN ts_recv IS NULL THEN 'invalid_ts_recv' END,
+    CASE WHEN sequence IS NULL THEN 'invalid_sequence' END,
+    CASE WHEN coalesce(action = 'T', false) AND NOT coalesce(price > 0, false) THEN 'invalid_price' END,
+    CASE WHEN coalesce(action = 'T', false) AND NOT coalesce(size > 0, false) THEN 'invalid_size' END,
+    CASE WHEN coalesce(action = 'T', false) AND coalesce(symbol, '') = '' THEN 'invalid_symbol' END,
+    CASE WHEN coalesce(action = 'T', false) AND NOT coalesce(price > 0 AND abs(price * 4 - round_even(price * 4, 0)) <= 1e-9, false)
+      THEN 'invalid_tick_price' END]) AS reason
+  FROM spoiled) WHERE reason IS NOT NULL GROUP BY reason"""
+_FINAL["row_policies"] = """
+SELECT 'fail' AS policy, 0::BIGINT AS row_count, count(*) > 0 AS raised FROM flags WHERE len(reasons) > 0
+UNION ALL SELECT policy, count(*), false FROM dirty_tape, (VALUES ('quarantine'), ('warn')) p(policy) GROUP BY policy"""
+_FINAL["null_guards"] = """
+SELECT column_name, count(*) AS nulls, true AS raised FROM tape, (VALUES ('price'), ('size'), ('session_id'), ('sequence')) c(column_name)
+WHERE sequence % 4004 = 0 GROUP BY column_name"""
+_FINAL["tape_reconcile_failing"] = """
+SELECT count(*) FILTER (symbol <> 'S3') AS row_count, sum(size) FILTER (symbol <> 'S3')::BIGINT AS sum_size,
+  sum(signed_volume) FILTER (symbol <> 'S3')::BIGINT AS sum_signed_volume,
+  array_to_string([x FOR x IN [
+    CASE WHEN count(*) FILTER (symbol = 'S3') > 0 THEN 'output row count does not match manifest' END,
+    CASE WHEN coalesce(sum(size) FILTER (symbol = 'S3'), 0) <> 0 THEN 'output size sum does not match manifest' END,
+    CASE WHEN coalesce(sum(signed_volume) FILTER (symbol = 'S3'), 0) <> 0 THEN 'signed-volume sum does not match manifest' END]
+    IF x IS NOT NULL], ',') AS failures,
+  count(*) FILTER (symbol = 'S3') = 0 AS valid
+FROM dirty_tape"""
+
+# Each file is a part of the symbol, as all expressions are keyed by it, and its month is its name.
+_FILE = "CASE WHEN (epoch_us(ts) // 864000000000) % 2 = 1 THEN '2024-02' ELSE '2024-01' END"
+
+
+def _by_file(final: str) -> str:
+    sql = _sql(
+        f"SELECT split_part(symbol, '|', 2) AS symbol, split_part(symbol, '|', 1) AS month, * EXCLUDE (symbol, month) FROM ({final})"
+    )
+    own = "'S' || (user_id % 4)::VARCHAR AS symbol"
+    assert sql.count(own) == 1
+    return sql.replace(own, f"{_FILE} || '|' || {own}")
+
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _sql(final) for name, final in _FINAL.items()}
+    return {name: _sql(final) for name, final in _FINAL.items()} | {
+        "bar_study_by_file": _by_file(_FINAL["bar_study"])
+    }

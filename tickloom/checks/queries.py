@@ -18,6 +18,8 @@ from tickloom.config import (
     StudyConfig,
     TapeConfig,
 )
+from tickloom.errors import QualityError
+from tickloom.functions.clock import month_label
 from tickloom.functions.prices import dec
 from tickloom.operators import audit as A
 from tickloom.operators import bars as B
@@ -31,7 +33,8 @@ from tickloom.operators.ordering import ordering_report
 from tickloom.operators.tape import tape_totals, validate_tape
 from tickloom.plans import jobs as J
 from tickloom.sources import readers, writers
-from tickloom.sources.events import dirty_view, read_events, tape_view
+from tickloom.sources.events import dirty_view, mbo_view, raw_files, read_events, spoiled_view, tape_view
+from tickloom.streaming.tape import stream_tape, stored_cells
 
 CLEAN = TapeConfig()
 DIRTY = TapeConfig(invalid_row_policy="quarantine", overwrite=True)
@@ -715,3 +718,133 @@ def fixed_size_summary(spark, d):
     """The study with one contract and no regimes."""
     cfg = StudyConfig(contracts=1, use_regimes=False)
     return plain(_study(spark, d, cfg)["summary"])
+
+
+# Raw files, policies and parts of a tape -----------------------------------------------------------
+
+
+def _raw(spark, view, files):
+    path = writers.scratch_path(spark, "raw")
+    raw_files(view, path, files)
+    return path
+
+
+@query
+def scan_many_files(spark, d):
+    """The raw reader over 24 files: ten columns and the position in the whole scan."""
+    return plain(readers.read_mbo(spark, _raw(spark, mbo_view(spark, d), 24)))
+
+
+def _streamed(spark, d, view, cfg):
+    """Paths of a tape and reports that a stream made of raw files, five to a batch."""
+    raw = _raw(spark, view, 12)
+    target, reports, checkpoint = (writers.scratch_path(spark, x) for x in ("tape", "reports", "offsets"))
+    schema = spark.read.parquet(raw).schema
+    stream_tape(spark, raw, schema, target, reports, checkpoint, cfg, files_per_batch=5).awaitTermination()
+    return target, reports
+
+
+@query
+def stream_trade_tape(spark, d):
+    """The tape of files that arrive in batches; which number a row has follows their arrival."""
+    target, _ = _streamed(spark, d, mbo_view(spark, d), CLEAN)
+    return plain(readers.read_tape(spark, target)).drop("source_row_number")
+
+
+@query
+def stream_volume_report(spark, d):
+    """The audit of a stream over damaged rows, rolled up from its batches' counters."""
+    _, reports = _streamed(spark, d, dirty_view(spark, d), DIRTY)
+    return plain(A.volume_report(stored_cells(spark, reports)))
+
+
+@query
+def tape_day_replaced(spark, d):
+    """A tape that lacks a third of its newest day gets that day again, complete."""
+    path = writers.scratch_path(spark, "tape")
+    tape = writers.stored(tape_view(spark, d), "whole-tape")
+    last = tape.agg(F.max("trading_date")).first()[0]
+    day = F.col("trading_date") == last
+    writers.write_tape(tape.filter(~(day & (F.col("sequence") % 3 == 0))), path, CLEAN)
+    writers.replace_days(tape.filter(day), path, CLEAN, writers.day_totals(tape.filter(day)))
+    return plain(readers.read_tape(spark, path))
+
+
+@query
+def all_invalid_reasons(spark, d):
+    """Rows for each of the nine reasons, over rows in which all of them occur."""
+    return Q.reason_counts(Q.quality_flags(spoiled_view(spark, d), DIRTY))
+
+
+@query
+def row_policies(spark, d):
+    """For each policy whether damaged rows stop the job, and the tape's rows where they do not."""
+    flags = _flags(spark, d)
+    cells = A.audit_cells(flags, DIRTY)
+    out = None
+    for policy in ("fail", "quarantine", "warn"):
+        cfg = TapeConfig(invalid_row_policy=policy)
+        try:
+            Q.enforce_policy(A.invalid_counts(cells), ordering_report(flags), cfg)
+            rows = tape_totals(Q.canonical_trades(flags, cfg)).select("row_count", F.lit(False).alias("raised"))
+        except QualityError:
+            rows = cells.agg(F.lit(0).cast("bigint").alias("row_count"), F.lit(True).alias("raised"))
+        rows = rows.withColumn("policy", F.lit(policy))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def null_guards(spark, d):
+    """For each column that bars need, whether a null in one row stops them."""
+    tape = tape_view(spark, d)
+    broken = None
+    for name in ("price", "size", "session_id", "sequence"):
+        hurt = tape.withColumn(name, F.when(F.col("sequence") % 4004 != 0, F.col(name)))
+        try:
+            B.ohlcv_bars(hurt, 1800).agg(F.sum("open"), F.sum("volume")).first()
+            raised = False
+        except Exception as e:  # the engine's own error class
+            raised = "null in a required column" in str(e)
+        row = tape.agg(F.count_if(F.col("sequence") % 4004 == 0).alias("nulls")).withColumns({"column_name": F.lit(name), "raised": F.lit(raised)})
+        broken = row if broken is None else broken.unionByName(row)
+    return broken
+
+
+@query
+def tape_reconcile_failing(spark, d):
+    """A tape that lost the rows of one symbol, against the report of its source."""
+    tape = J.build_tape(dirty_view(spark, d), DIRTY).filter("symbol <> 'S3'")
+    return plain(validate_tape(tape_totals(tape), A.volume_report(_cells(spark, d))))
+
+
+@query
+def bar_study_by_file(spark, d):
+    """The study of two input files, each with every second ten days, by the month in their names."""
+    path = writers.scratch_path(spark, "files")
+    late = F.expr("(ts_event_ns div 864000000000000) % 2 = 1")
+    trades = tape_view(spark, d).withColumn("late", late)
+    for name, part in (("2024-01_trades", ~F.col("late")), ("2024-02_trades", F.col("late"))):
+        trades.filter(part).drop("late").write.parquet(f"{path}/{name}")
+    read = spark.read.parquet(f"{path}/2024-01_trades", f"{path}/2024-02_trades")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
+    out = J.bar_study_by_file(read.withColumn("file", month_label(folder)), "file", STUDY)["outcomes"]
+    return plain(
+        out.select(
+            "symbol",
+            "month",
+            "signal_ns",
+            "entry_ns",
+            "exit_ns",
+            "direction",
+            "contracts",
+            "entry_open",
+            "stop",
+            "target",
+            "exit_price",
+            "status",
+            "points",
+            "pnl",
+            "regime",
+        )
+    )

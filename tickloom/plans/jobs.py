@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
@@ -216,18 +216,24 @@ def run_label_job(
         write_table(label_counts(written), f"{reports}/label_counts", cfg)
 
 
-def bar_study(trades: DataFrame, cfg: StudyConfig) -> dict[str, DataFrame]:
-    """Signals, outcomes, equity and monthly summary of loose trades, which are scanned once."""
+def bar_study(
+    trades: DataFrame, cfg: StudyConfig, month: Column | None = None
+) -> dict[str, DataFrame]:
+    """Signals, outcomes, equity and monthly summary of loose trades, which are scanned once.
+
+    A trade's month is that of its entry, or ``month``, made from its symbol.
+    """
     signal_bars = stored(candles(trades, cfg.signal_bar_seconds, cfg.market_tz), "study_bars")
     zone_bars = rollup_bars(signal_bars, cfg.zone_bar_seconds, cfg.market_tz)
     rated = stored(study_bars(signal_bars, cfg), "study_rated")
     signals = regime_signals(zone_bars, rated, cfg)
-    month = F.left(local_date(F.col("entry_ns"), cfg.market_tz), F.lit(7))
+    named = month is not None
+    month = month if named else F.left(local_date(F.col("entry_ns"), cfg.market_tz), F.lit(7))
     outcomes = bar_barrier_outcomes(signals.filter("tradable"), rated, cfg).withColumn(
         "month", month
     )
     curve = equity_curve(outcomes, cfg)
-    bar_month = F.left(local_date(F.col("bar_start_ns"), cfg.market_tz), F.lit(7))
+    bar_month = month if named else F.left(local_date(F.col("bar_start_ns"), cfg.market_tz), F.lit(7))
     missing = rated.groupBy("symbol", bar_month.alias("month")).agg(
         F.count_if("missing_entry").alias("skipped_missing_entry")
     )
@@ -250,3 +256,21 @@ def bar_study(trades: DataFrame, cfg: StudyConfig) -> dict[str, DataFrame]:
         "curve": curve,
         "summary": trade_summary(curve, skipped, cfg),
     }
+
+
+
+def bar_study_by_file(trades: DataFrame, file: str, cfg: StudyConfig) -> dict[str, DataFrame]:
+    """``bar_study`` of each input file by itself; ``file`` is the column that names a row's file.
+
+    Baselines, regimes, zone use and equity start afresh at a file, and ``month`` is that column
+    (``month_label`` makes it from a path). The file becomes a part of the symbol, which keys every
+    operator, so files run side by side in one plan; the results carry it apart again.
+    """
+    mark = "\u001f"
+    keyed = trades.withColumn("symbol", F.concat(F.coalesce(file, F.lit("")), F.lit(mark), "symbol")).drop(file)
+    parts = F.split("symbol", mark, 2)
+    out = {}
+    for name, df in bar_study(keyed, cfg, parts[0]).items():
+        month = {"month": parts[0]} if "month" in df.columns else {file: parts[0]}
+        out[name] = df.withColumns({**month, "symbol": parts[1]})
+    return out

@@ -72,6 +72,27 @@ def dirty_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spoiled_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dirty_view`` with prices, symbols and receive times broken as well: all reasons occur."""
+    hurt = lambda every, rest: F.col("event_id") % every == rest
+    price = F.when(hurt(127, 7), -F.col("price")).when(hurt(149, 11), float("nan")).when(~hurt(131, 8), F.col("price"))
+    return dirty_view(spark, sf_dir).withColumns(
+        {
+            "price": price,
+            "symbol": F.when(hurt(137, 9), "").when(~hurt(151, 12), F.col("symbol")),
+            "ts_recv": F.when(hurt(139, 10), "yesterday").otherwise(F.col("ts_recv")),
+        }
+    )
+
+
+def raw_files(df: DataFrame, path: str, files: int) -> None:
+    """Write a view as raw input of several files, in scan order, with all columns of the format."""
+    extra = {"rtype": 160, "channel_id": 0, "order_id": 0, "flags": 0, "ts_in_delta": 0}
+    full = df.withColumns({k: F.lit(v) for k, v in extra.items()})
+    ordered = full.repartitionByRange(files, "source_row_number").sortWithinPartitions("source_row_number")
+    ordered.drop("source_row_number").write.parquet(path)
+
+
 def tape_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The canonical tape of the clean rows."""
     return build_tape(mbo_view(spark, sf_dir), TapeConfig())

@@ -149,6 +149,47 @@ def write_tape(
     return totals
 
 
+def day_totals(tape: DataFrame) -> DataFrame:
+    """Rows, size and signed volume of each symbol and trading date."""
+    return tape.groupBy(*S.PARTITIONS).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("sum_size"),
+        F.coalesce(F.sum("signed_volume"), F.lit(0)).alias("sum_signed_volume"),
+    )
+
+
+def replace_days(df: DataFrame, path: str, cfg: TapeConfig, expected: DataFrame | None = None) -> DataFrame:
+    """Put the symbols and days of ``df``, each complete, in the place of those in the tape at ``path``.
+
+    Only the folders of these symbols and days are written anew (dynamic partition overwrite); all
+    others keep their files. The rows are written beside the tape first and judged there, day by
+    day: where their totals differ from ``expected`` (columns of ``day_totals``), nothing changes.
+    Returns the totals of what was put in place, one row for each symbol and day.
+    """
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}.days-{uuid.uuid4().hex}"
+    options = {"maxRecordsPerFile": cfg.target_rows_per_file, "compression": CODECS[cfg.compression]}
+    tape = S.conform(df, S.TAPE).hint("rebalance", *S.PARTITIONS).sortWithinPartitions(*S.PARTITIONS, *S.CAUSAL)
+    try:
+        tape.write.options(**options).partitionBy(*S.PARTITIONS).parquet(beside)
+        new = spark.read.schema(S.TAPE).parquet(beside)
+        totals = stored(day_totals(new), "day-totals")
+        if totals.isEmpty():
+            raise OutputError("no trade rows were written")
+        if expected is not None:
+            off = expected.select(totals.columns).exceptAll(totals).unionByName(totals.exceptAll(expected.select(totals.columns)))
+            wrong = off.select(*S.PARTITIONS).distinct().orderBy(*S.PARTITIONS).limit(20).collect()
+            if wrong:
+                names = ", ".join(f"{r['symbol']} {r['trading_date']}" for r in wrong)
+                raise OutputError(f"day totals differ from what was expected: {names}")
+        placed = new.hint("rebalance", *S.PARTITIONS).sortWithinPartitions(*S.PARTITIONS, *S.CAUSAL)
+        out = placed.write.options(**options).option("partitionOverwriteMode", "dynamic")
+        out.mode("overwrite").partitionBy(*S.PARTITIONS).parquet(path)
+    finally:
+        _drop(spark, beside)
+    return totals
+
+
 def write_quarantine(rejected: DataFrame, path: str, cfg: TapeConfig) -> dict[str, int]:
     """All rejected rows, or the first ``quarantine_sample_limit`` in scan order if that is set.
 
