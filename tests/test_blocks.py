@@ -2,14 +2,16 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tickloom.operators import blocks
+from tickloom.operators import blocks, gaps
 from tickloom.operators import indicators as I
 from tickloom.operators.gaps import gap_fill_status, gap_zones
+from tickloom.operators.matching import greedy_match
 
 SCHEMA = "symbol string, session_id string, bar_start_ns long, open double, high double, low double, close double, volume long"
 NS = 1_000_000_000
@@ -109,3 +111,70 @@ def test_one_symbol_uses_many_tasks(spark, tiny):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert used > 4
+
+
+def filled(rows, seconds=1800):
+    """Zones of one symbol's (time, high, low), each with its first fill by a plain scan."""
+    out = {}
+    for i in range(2, len(rows)):
+        (t, high, low), (_, far_high, far_low) = rows[i], rows[i - 2]
+        if low > far_high:
+            later = (r[0] for r in rows[i + 1 :] if r[2] <= far_high)
+        elif high < far_low:
+            later = (r[0] for r in rows[i + 1 :] if r[1] >= far_low)
+        else:
+            continue
+        fill = next(later, None)
+        end = (rows[-1][0] if fill is None else fill) + seconds * NS
+        out[t] = ("OPEN" if fill is None else "FULLY_FILLED", end)
+    return out
+
+
+def drifting(kind, n=420):
+    """(time, high, low) of bars that wander, only rise, rise until one bar fills every zone, or stand still."""
+    rng, price, rows = random.Random(kind), 1000.0, []
+    for i in range(n):
+        price += {"walk": rng.choice([-3, -1, 0, 1, 2]), "flat": 0}.get(kind, 3)
+        low = 1.0 if kind == "crash" and i == n - 5 else price - 0.5
+        rows.append((i * 1800 * NS, price + 0.5, low))
+    return rows
+
+
+@pytest.mark.parametrize("fan", [2, 3, 64])
+def test_fills_in_trees_of_any_fan_equal_a_scan(spark, monkeypatch, fan):
+    monkeypatch.setattr(gaps, "_FAN", fan)
+    markets = {k: drifting(k) for k in ("walk", "rise", "crash", "flat")} | {"short": drifting("walk", 3)}
+    rows = [(s, *r) for s, market in markets.items() for r in market]
+    df = spark.createDataFrame(rows, "symbol string, bar_start_ns long, high double, low double")
+    got = {s: {} for s in markets}
+    for r in gap_fill_status(df, 1800).collect():
+        assert r.start_ns not in got[r.symbol]
+        got[r.symbol][r.start_ns] = (r.status, r.end_ns)
+    assert got == {s: filled(market) for s, market in markets.items()}
+    assert {x[0] for x in got["crash"].values()} == {"FULLY_FILLED", "OPEN"} and len(got["rise"]) > 400
+
+
+def test_zones_are_keyed_by_their_own_block(spark, monkeypatch):
+    """A symbol whose zones all stay open until one bar has many keys, none with more than a block's zones."""
+    monkeypatch.setattr(gaps, "_FAN", 3)
+    rows = [("A", *r) for r in drifting("crash", 600)]
+    df = spark.createDataFrame(rows, "symbol string, bar_start_ns long, high double, low double")
+    tables = []
+    monkeypatch.setattr(gaps, "stored", lambda found, name: tables.append(blocks.stored(found, name)) or tables[-1])
+    assert gap_fill_status(df, 1800).count() > 590
+    assert tables
+    for t in tables:
+        held = [r["count"] for r in t.groupBy("symbol", "block").count().collect()]
+        assert max(held) <= 9 and len(held) > 60
+
+
+def test_walk_of_zone_use_is_linear(spark):
+    """20,000 signals that each meet zones used before; a fold over taken zones would take minutes."""
+    n = 20_000
+    pairs = spark.range(n).selectExpr("1 AS g", "id AS s", "explode(sequence(greatest(id - 3, 0), id)) AS z", "CAST(1 AS decimal(9,2)) AS kept")
+    df = pairs.withColumn("at", F.col("z"))
+    started = time.monotonic()
+    got = greedy_match(df, ["g"], "s", "z", "at")
+    assert got.columns == df.columns
+    assert got.where("s = z").count() == n == got.count()
+    assert time.monotonic() - started < 60

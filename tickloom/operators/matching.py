@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _walker(signal: str, zone: str, newest: str):
+    """Arrow function that keeps the pairs a walk over one group takes; ships as a closure."""
+
+    def walk(table: pa.Table) -> pa.Table:
+        order = [(signal, "ascending"), (newest, "descending"), (zone, "ascending"), ("_ok", "ascending")]
+        table = table.sort_by(order)
+        columns = (table[c].to_pylist() for c in (signal, zone, "_ok"))
+        used, taken, settled = set(), [], None
+        for i, (s, z, ok) in enumerate(zip(*columns, strict=True)):
+            if s == settled or z in used:
+                continue
+            taken.append(i)
+            settled = s
+            if ok:
+                used.add(z)
+        return table.take(pa.array(taken, pa.int64())).drop_columns(["_ok"])
+
+    return walk
+
+
 def greedy_match(
     pairs: DataFrame, group: list[str], signal: str, zone: str, newest: str, ok: str | None = None
 ) -> DataFrame:
@@ -13,30 +34,9 @@ def greedy_match(
 
     ``pairs`` holds only pairs that pass every stateless test. A pair whose ``ok`` is false ends
     its signal without using the zone; it is returned too, so callers can count it. A group is one
-    session's pairs: at most its signal bars times the zones alive at one time.
+    session's pairs: at most its signal bars times the zones alive at one time. Used zones are a
+    set, so the walk is linear in the pairs after their sort.
     """
-    good = F.col(ok) if ok else F.lit(True)
-    payload = [c for c in pairs.columns if c not in group]
-    step = F.struct(
-        F.col(signal).alias("s"),
-        (-F.col(newest)).alias("n"),
-        F.col(zone).alias("z"),
-        good.alias("ok"),
-        F.struct(*payload).alias("row"),
-    )
-    grouped = pairs.groupBy(*group).agg(F.array_sort(F.collect_list(step)).alias("_pairs"))
-    nothing = F.filter("_pairs", lambda p: F.lit(False))
-    start = F.struct(nothing.alias("taken"), F.lit(None).cast("bigint").alias("settled"))
-
-    def walk(state, pair):
-        used = F.exists(state["taken"], lambda t: (t["z"] == pair["z"]) & t["ok"])
-        skip = F.coalesce(state["settled"] == pair["s"], F.lit(False)) | used
-        return F.struct(
-            F.when(skip, state["taken"])
-            .otherwise(F.concat(state["taken"], F.array(pair)))
-            .alias("taken"),
-            F.when(skip, state["settled"]).otherwise(pair["s"]).alias("settled"),
-        )
-
-    taken = F.aggregate("_pairs", start, walk)["taken"]
-    return grouped.select(*group, F.explode(taken).alias("_t")).select(*group, "_t.row.*")
+    good = F.coalesce(F.col(ok), F.lit(False)) if ok else F.lit(True)
+    judged = pairs.withColumn("_ok", good)
+    return judged.groupBy(*group).applyInArrow(_walker(signal, zone, newest), pairs.schema)
