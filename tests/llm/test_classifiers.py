@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm import quality, toxicity
 from tickloom.llm.labelled import training_ids
@@ -110,3 +111,50 @@ def test_empty_tables(spark):
         assert score(none, lab).collect() == []
         assert len({r.score for r in score(docs, lab).collect()}) == 1
     assert quality.TRAIN_ROWS > 0
+
+
+def test_network_equals_a_plain_loop():
+    rng = np.random.default_rng(5)
+    net = toxicity.train([rng.integers(0, toxicity.BUCKETS, (n, len(toxicity.PARTS))).astype(np.int32) for n in (9, 4, 7, 12)], np.array([0.0, 1, 0, 1]), epochs=1)
+    texts = ["one two three four", "", "solo", "a b", "x y z " * 50]
+    got = net.score(*word_rows(*utf8(pa.array(texts))))
+    for text, score in zip(texts, got, strict=True):
+        rows, _ = word_rows(*utf8(pa.array([text])))
+        vectors = [sum(net.embedding[r] for r in word) for word in rows]
+        logit = net.bias
+        for k, width in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                best = 0.0
+                for i in range(len(vectors) - width + 1):
+                    window = sum(float(vectors[i + j] @ net.filters[k][j][:, f]) for j in range(width))
+                    best = max(best, window + float(net.shifts[k][f]))
+                logit += best * float(net.out[k * toxicity.FILTERS + f])
+        assert score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-5)
+
+
+def test_sample_holds_one_row_an_id_within_its_bytes(spark):
+    docs = [(i, "x" * 10, "en", "s", "x", 1) for i in range(20)] + [(3, "repeated", "de", None, None, None)] * 500
+    ids = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, label int")
+    df = spark.createDataFrame(docs, DOCS)
+    every = toxicity._bounded(df, ids, 1_000).collect()
+    assert sorted(r.doc_id for r in every) == list(range(20)) and all(r.label == r.doc_id % 2 for r in every)
+    assert [r.text for r in every if r.doc_id == 3] == ["repeated"]
+    some = {r.doc_id for r in toxicity._bounded(df, ids, 55).collect()}
+    first = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").collect()][: len(some)]
+    assert len(some) == 5 and some == set(first)
+    assert toxicity._bounded(df, ids, 0).collect() == [] and toxicity._bounded(df.limit(0), ids, 55).collect() == []
+
+
+def test_score_is_calibrated_at_half(spark):
+    docs, labels = corpus(900)
+    net = toxicity.fit(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+    assert net.thresholds[""] == pytest.approx(0.5, abs=0.1)
+
+
+def test_very_long_texts_are_scored_whole(spark):
+    docs, labels = corpus(600)
+    lab = spark.createDataFrame(labels, LABELS)
+    long = [(9_000, "abc de " * 400_000, "en", "s", "x", 1), (9_001, "abc de " * 400_000 + "vilka", "en", "s", "x", 1)]
+    got = {r.doc_id: r.score for r in score_toxicity(spark.createDataFrame(docs + long, DOCS), lab).collect()}
+    assert got[9_001] > got[9_000]
+    assert all(0 <= r.score <= 1 for r in score_quality(spark.createDataFrame(docs + long, DOCS), lab).where("doc_id >= 9000").collect())
