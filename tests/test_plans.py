@@ -89,6 +89,28 @@ def test_counted_candidates_are_broadcast(spark, stored_tape):
     assert re.search(r"PartitionFilters: \[[^]]*trading_date", text)
 
 
+def test_key_width_comes_from_footers(spark, stored_tape):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")}
+    days = ("2026-04-06", "2026-04-07")
+    for most in (readers.largest_order_parts(spark, stored_tape), readers.largest_order_parts(spark, stored_tape, days)):
+        text = plan(most)
+        assert "PushedAggregation: [MAX(sequence), MAX(source_row_number)]" in text
+    assert before == {k: spark.conf.get(k) for k in before}
+    tape = readers.read_tape(spark, stored_tape)
+    want = tape.agg(F.max("sequence"), F.max("source_row_number")).first()
+    assert tuple(readers.largest_order_parts(spark, stored_tape).first()) == tuple(want)
+    assert readers.tape_needs_wide_keys(spark, stored_tape) is False
+    assert readers.tape_needs_wide_keys(spark, stored_tape, ("1999-01-01", "1999-01-02")) is False
+
+
+@pytest.mark.parametrize(("sequence", "wide"), [(10**11, True), (10**11 - 1, False), (None, False)])
+def test_key_width_of_a_stored_tape(spark, stored_tape, tmp_path, sequence, wide):
+    """A column that is all null has no bounds in the footers; it is scanned."""
+    tape = readers.read_tape(spark, stored_tape).withColumn("sequence", F.lit(sequence).cast("bigint"))
+    tape.write.partitionBy(*S.PARTITIONS).parquet(str(tmp_path / "t"))
+    assert readers.tape_needs_wide_keys(spark, str(tmp_path / "t")) is wide
+
+
 def test_tape_files_are_sorted_and_bounded(spark, tmp_path):
     start = ns("2026-04-06T14:00:00Z")
     df = spark.range(5000).select(

@@ -553,12 +553,13 @@ def _tape_path(spark, d):
     return path
 
 
-def _candidates(tape):
-    return writers.stored(J.technical_candidates(tape, TECH), "candidates")
+def _candidates(spark, path):
+    wide = readers.tape_needs_wide_keys(spark, path)
+    return writers.stored(J.technical_candidates(readers.read_tape(spark, path), TECH, wide), "candidates")
 
 
 def _labels(spark, path, cfg=FILLS):
-    return J.label_tape(spark, path, _candidates(readers.read_tape(spark, path)), cfg)
+    return J.label_tape(spark, path, _candidates(spark, path), cfg)
 
 
 @query
@@ -571,7 +572,7 @@ def label_invalids(spark, d):
     """Candidates with side, stop or target altered by turns."""
     path = _tape_path(spark, d)
     turn = F.unix_micros("entry_timestamp") / 1_800_000_000 % 4
-    made = _candidates(readers.read_tape(spark, path)).withColumn("_turn", turn.cast("int"))
+    made = _candidates(spark, path).withColumn("_turn", turn.cast("int"))
     stop, target = F.col("stop_price"), F.col("target_1")
     made = made.withColumns(
         {

@@ -41,7 +41,12 @@ def guard_nulls(value: Column, *required: Column) -> Column:
     return F.when(missing, F.raise_error(F.lit("null in a required column"))).otherwise(value)
 
 
+def beyond_packed(sequence: int | None, row: int | None) -> bool:
+    """Whether a largest sequence or source row does not fit the packed key."""
+    return (sequence or 0) >= 10**SEQUENCE_DIGITS or (row or 0) >= 10**ROW_DIGITS
+
+
 def needs_wide_keys(tape: DataFrame) -> bool:
     """Whether a sequence or source row of the tape is beyond the packed key; reads two columns."""
     most = tape.agg(F.max("sequence").alias("s"), F.max("source_row_number").alias("r")).first()
-    return (most["s"] or 0) >= 10**SEQUENCE_DIGITS or (most["r"] or 0) >= 10**ROW_DIGITS
+    return beyond_packed(most["s"], most["r"])

@@ -35,7 +35,7 @@ from tickloom.operators.study import (
 )
 from tickloom.operators.reports import label_counts, label_gate_report
 from tickloom.operators.tape import require_valid, tape_totals, validate_tape
-from tickloom.sources.readers import read_candidates, read_mbo, read_tape
+from tickloom.sources.readers import read_candidates, read_mbo, read_tape, tape_needs_wide_keys
 from tickloom.sources.writers import stored, write_quarantine, write_table, write_tape
 
 # Up to this many symbols are named in the tape's partition filter.
@@ -127,24 +127,27 @@ def run_validate_job(spark: SparkSession, tape_path: str, reports: str) -> dict:
     return require_valid(validate_tape(totals, spark.read.parquet(f"{reports}/trade_volume_report")))
 
 
-def setup_bars(tape: DataFrame, zone_seconds: int, signal_seconds: int):
+def _bars(tape: DataFrame, seconds: int, wide_keys: bool | None) -> DataFrame:
+    """Bars; whether they take wide keys is found out by a scan of two columns if not given."""
+    return ohlcv_bars(tape, seconds, needs_wide_keys(tape) if wide_keys is None else wide_keys)
+
+
+def setup_bars(tape: DataFrame, zone_seconds: int, signal_seconds: int, wide_keys: bool | None = None):
     """Zone bars and signal bars from one aggregate over the trades.
 
     The bars are read several times later on, so they are stored: the tape is scanned once.
     """
-    bars = ohlcv_bars(tape, signal_seconds, wide_keys=needs_wide_keys(tape))
-    signal = stored(bars, "signal_bars")
+    signal = stored(_bars(tape, signal_seconds, wide_keys), "signal_bars")
     return rollup_bars(signal, zone_seconds), signal
 
 
-def gap_candidates(tape: DataFrame, cfg: GapSetupConfig) -> DataFrame:
-    zone, signal = setup_bars(tape, cfg.zone_bar_seconds, cfg.signal_bar_seconds)
+def gap_candidates(tape: DataFrame, cfg: GapSetupConfig, wide_keys: bool | None = None) -> DataFrame:
+    zone, signal = setup_bars(tape, cfg.zone_bar_seconds, cfg.signal_bar_seconds, wide_keys)
     return failed_gap_candidates(zone, signal, cfg)
 
 
-def technical_candidates(tape: DataFrame, cfg: IndicatorSetupConfig) -> DataFrame:
-    bars = ohlcv_bars(tape, cfg.bar_seconds, wide_keys=needs_wide_keys(tape))
-    return indicator_candidates(bars, cfg)
+def technical_candidates(tape: DataFrame, cfg: IndicatorSetupConfig, wide_keys: bool | None = None) -> DataFrame:
+    return indicator_candidates(_bars(tape, cfg.bar_seconds, wide_keys), cfg)
 
 
 def run_candidate_job(
@@ -161,7 +164,7 @@ def run_candidate_job(
         ("ts_event_ns", "sequence", "symbol", "price", "size", "session_id", "source_row_number"),
     )
     build = gap_candidates if isinstance(setup, GapSetupConfig) else technical_candidates
-    write_table(build(tape, setup), target, cfg)
+    write_table(build(tape, setup, tape_needs_wide_keys(spark, tape_path)), target, cfg)
 
 
 def label_tape(
@@ -195,7 +198,10 @@ def label_tape(
     names = candidates.select("symbol").distinct().limit(PRUNED_SYMBOLS + 1).collect()
     if len(names) <= PRUNED_SYMBOLS:
         tape = tape.filter(F.col("symbol").isin([r["symbol"] for r in names]))
-    return first_barrier_labels(candidates, tape, cfg, wide_keys=needs_wide_keys(tape))
+    # Without candidates there are no days, and no trade is read.
+    days = (seen["first"], seen["last"])
+    wide = seen["first"] is not None and tape_needs_wide_keys(spark, tape_path, days)
+    return first_barrier_labels(candidates, tape, cfg, wide_keys=wide)
 
 
 def run_label_job(

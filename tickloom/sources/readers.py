@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from tickloom import schema as S
 from tickloom.errors import SchemaError
 from tickloom.functions.clock import epoch_ns, month_label, ns_to_ts
+from tickloom.functions.ordering_keys import beyond_packed, needs_wide_keys
 
 # Beyond this many files the offset table is joined without a broadcast hint.
 MAX_BROADCAST_FILES = 100_000
@@ -90,6 +93,36 @@ def read_tape(spark: SparkSession, path: str, columns: tuple[str, ...] | None =
     return df.select(*out)
 
 
+def largest_order_parts(spark: SparkSession, path: str, days: tuple[str, str] | None = None) -> DataFrame:
+    """Largest ``sequence`` and ``source_row_number`` of a stored tape, from its Parquet footers.
+
+    The aggregate is pushed into the scan, whose tasks then read footers only; ``days`` (first and
+    last trading date) leaves out whole folders. The two settings that this takes are made in a
+    session of its own, so the caller's are not touched.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    tape = read_partitioned(own, path)
+    if days is not None:
+        tape = tape.filter(F.col("trading_date").between(*days))
+    return tape.agg(F.max("sequence").alias("sequence"), F.max("source_row_number").alias("row"))
+
+
+def tape_needs_wide_keys(spark: SparkSession, path: str, days: tuple[str, str] | None = None) -> bool:
+    """``needs_wide_keys`` of a stored tape without reading its columns.
+
+    Files whose footers lack these statistics (foreign writers, columns that are all null) or hold
+    them in an unsigned type are scanned instead.
+    """
+    try:
+        most = largest_order_parts(spark, path, days).first()
+    except (PySparkException, Py4JJavaError):
+        tape = read_tape(spark, path, ("sequence", "source_row_number", "trading_date"))
+        return needs_wide_keys(tape.filter(F.col("trading_date").between(*days)) if days else tape)
+    return beyond_packed(most["sequence"], most["row"])
+
+
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
     """Setup candidates; all columns must be there."""
     return _read_exact(spark, path, S.CANDIDATE, "setup candidates")
