@@ -77,6 +77,21 @@ def test_edits_and_neighbours(spark, monkeypatch, rows_each):
     assert max(r.near_next for r in long_ones) < 0.3
 
 
+def test_one_id_on_most_rows(spark, monkeypatch):
+    """Rows of one id, of no id, and copies of one row are cut into ranges and keep their order."""
+    monkeypatch.setattr(syncmers, "BUCKET_ROWS", 5)
+    rng = random.Random(9)
+    rows = [(i, words(rng, 12)) for i in range(20)] + [(7, words(rng, 9)) for _ in range(60)]
+    rows += [(7, "same again")] * 33 + [(None, rng.choice(["", "x", words(rng, 4)])) for _ in range(50)] + [(None, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    got = [(r.doc_id, r.text, r.own, r.next) for r in syncmers.with_next(docs, lambda x: F.concat(x, F.lit("!"))).collect()]
+    order = sorted(((a, b or "") for a, b in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    want = [(a, b, b + "!", after[1] + "!") for (a, b), after in zip(order, order[1:] + order[:1], strict=True)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    cut = syncmers._cut_again(docs.withColumn("_bucket", F.lit(0)), 5)
+    assert cut.count() == len(set(order)) and cut.select("_sub").distinct().count() > 5
+
+
 def test_likeness_matches_brute_force(spark):
     rng = random.Random(6)
     base = words(rng, 400)

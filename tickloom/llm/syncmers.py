@@ -11,9 +11,13 @@ comparing it with a long one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.sources.writers import stored
+
 #: Tokens of a k-mer; its inner pairs number one less.
 K = 6
 #: Anchors of a fingerprint: those of least hash over the whole text.
@@ -26,6 +30,8 @@ SLACK = 64
 LONG_WORDS = 40
 #: Documents between two bounds of the order by id, and the most bounds.
 BUCKET_ROWS, MOST_BUCKETS = 1_000, 4_096
+#: A range of more rows than so many ranges should hold is cut again, by ids and first code points.
+HOT_BUCKET, HEAD_CHARS = 4, 64
 _BITS = 31
 
 
@@ -148,12 +154,15 @@ def likeness(one: Column, other: Column) -> Column:
     return F.coalesce(by("words", "by_words"), by("chars", "by_chars"), mixed, equal, F.lit(0.0))
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """Each row with ``next``: the ``carried`` columns of the row after it by ``doc_id``, then text.
+def with_next(docs: DataFrame, view: Callable[[Column], Column]) -> DataFrame:
+    """Each row of ``doc_id, text`` with ``own`` and ``next``: the view of its text and of the next row's.
 
-    The last row's next is the first.  Rows are dealt to ranges of the id by approximate
-    quantiles, so no window holds the whole order; the first row of each range follows the last of
-    the range before it.  Null ids come first.
+    Rows follow one another by id, which must be numeric, null ids first, then by text; the last
+    row's next is the first.  Rows are dealt to ranges of the id by approximate quantiles, so no window
+    holds the whole order; the first row of each range follows the last of the range before it, and
+    only the views of these first texts are computed twice.  A range that holds several ranges' rows
+    (one id or no id on many of them) is cut again, at about every ``n``-th of its distinct rows, and
+    rows equal in both, which follow one another, take part once.
     """
     n = docs.count()
     parts = min(MOST_BUCKETS, n // BUCKET_ROWS)
@@ -163,17 +172,55 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
         bucket = F.coalesce(F.size(F.filter(edges, lambda b: b < F.col("doc_id"))), F.lit(0))
     else:
         bucket = F.lit(0)
-    docs = docs.withColumn("_bucket", bucket)
+    docs = docs.withColumns({"_bucket": bucket, "_sub": F.lit(0)})
+    each = max(1, n // max(1, parts))
+    # One number for each range at most.
+    hot = [r["_bucket"] for r in docs.groupBy("_bucket").count().where(F.col("count") > HOT_BUCKET * each).collect()]
+    full = docs.where(F.col("_bucket").isin(hot))
+    docs = docs.where(~F.col("_bucket").isin(hot)) if hot else docs
+
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"))
     least = docs.groupBy("_bucket").agg(F.min(order).alias("_least"))
     at_head = docs.join(F.broadcast(least), "_bucket").where(F.col("doc_id").eqNullSafe(F.col("_least.id")))
-    heads = at_head.groupBy("_bucket").agg(F.min_by(F.struct(*carried), "text").alias("head"))
-    ring = Window.orderBy("_bucket")  # a row for each range
+    heads = at_head.groupBy("_bucket", "_sub").agg(F.min("text").alias("_text"))
+    if hot:
+        full = _cut_again(full, each)
+        first = full.groupBy("_bucket", "_sub").agg(F.min(F.struct(order, "text")).alias("_least"))
+        heads = heads.unionByName(first.select("_bucket", "_sub", F.col("_least.text").alias("_text")))
+        docs = docs.unionByName(full.drop("_copies"))
+    ring = Window.orderBy("_bucket", "_sub")  # a row for each range
     ends = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = heads.select("_bucket", F.coalesce(F.lead("head").over(ring), F.first("head").over(ends)).alias("_after"))
-    inside = Window.partitionBy("_bucket").orderBy("doc_id", "text")
-    rows = docs.withColumn("_next", F.lead(F.struct(*carried)).over(inside))
-    return rows.join(heads, "_bucket", "left").withColumn("next", F.coalesce("_next", "_after")).drop("_bucket", "_next", "_after")
+    heads = heads.withColumn("_after", F.coalesce(F.lead("_text").over(ring), F.first("_text").over(ends)))
+    heads = heads.select("_bucket", "_sub", view(F.col("_after")).alias("_after"))
+    inside = Window.partitionBy("_bucket", "_sub").orderBy("doc_id", "text")
+    rows = docs.withColumn("own", view(F.col("text")))
+    rows = rows.withColumn("_next", F.lead("own").over(inside))
+    rows = rows.join(heads, ["_bucket", "_sub"], "left").withColumn("next", F.coalesce("_next", "_after"))
+    rows = rows.select("doc_id", "text", "own", "next")
+    return rows.unionByName(_repeats(full, view, each)) if hot else rows
+
+
+def _cut_again(rows: DataFrame, each: int) -> DataFrame:
+    """Distinct rows of overfull ranges with ``_copies``, and ``_sub`` by places in their order."""
+    rows = rows.groupBy("_bucket", "doc_id", "text").agg(F.count(F.lit(1)).alias("_copies"))
+    rows = stored(rows, "syncmers-overfull")
+    # Texts that begin alike stay together, so their first code points do.
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"), F.substring("text", 1, HEAD_CHARS).alias("head"))
+    picked = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(each)) == 0)
+    cuts = picked.groupBy("_bucket").agg(F.collect_set(place).alias("_cuts"))
+    below = F.filter(F.coalesce("_cuts", F.array()), lambda c: c <= place)
+    return rows.join(cuts, "_bucket", "left").withColumn("_sub", F.size(below)).drop("_cuts")
+
+
+def _repeats(rows: DataFrame, view: Callable[[Column], Column], each: int) -> DataFrame:
+    """All copies but one of repeated rows, dealt out in runs of ``each``; their next is their like."""
+    more = F.col("_copies") - 1
+    runs = rows.where(more > 0).select("doc_id", "text", more.alias("_more"), F.explode(F.sequence(F.lit(0), F.expr(f"cast((_copies - 2) div {each} as int)"))).alias("_run"))
+    runs = runs.repartition("doc_id", "_run")
+    some = F.least(F.lit(each).cast("long"), F.col("_more") - F.col("_run") * each)
+    own = view(F.col("text"))
+    out = runs.select("doc_id", "text", F.explode(F.sequence(F.lit(1).cast("long"), some)).alias("_no")).drop("_no")
+    return out.select("doc_id", "text", own.alias("own"), own.alias("next"))
 
 
 def compare_edits(documents: DataFrame) -> DataFrame:
@@ -185,11 +232,10 @@ def compare_edits(documents: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = documents.select("doc_id", text.alias("text"))
-    docs = docs.withColumn("found", anchors(F.col("text")))
-    docs = with_next(docs, ["text", "found"])
+    docs = with_next(docs, lambda x: F.struct(x.alias("text"), anchors(x).alias("found")))
     quarter = F.expr("cast(length(text) div 4 as int)")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - quarter), F.substring(F.col("next.text"), F.lit(1), quarter))
-    docs = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), "found", F.col("next.found").alias("next_found"))
+    docs = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), F.col("own.found").alias("found"), F.col("next.found").alias("next_found"))
     docs = docs.withColumn("edited_found", anchors(F.col("edited")))
     return docs.select(
         "doc_id",
