@@ -47,6 +47,8 @@ def test_local_search_empties_a_bin():
     lengths = [50, 47, 30, 26, 26, 21]  # best fit: 50+47, 30+26+26, 21; exchanges leave two bins
     assert len(_best_fit(lengths, 100)) == 3 and sum(lengths) == 200
     assert len(pack(lengths, 100)) <= 3
+    whole = pack(lengths, 100, breadth=None)
+    assert sorted(i for b in whole for i in b) == list(range(6)) and len(whole) <= 3
     assert pack([], 100) == [] and pack([100, 100], 100) == [[0], [1]]
 
 
@@ -75,5 +77,19 @@ def test_documents(spark, tokenizer):
     assert zlib.crc32(again[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)]) == r.ids_crc32
 
 
+def test_copies_of_a_row_are_dealt_to_all_blocks(spark):
+    rows = [(1, "one and the same row", None, None)] * 400 + [(i, f"row {i}", None, None) for i in range(2, 102)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = pack_documents(df, PATH, block_pieces=50).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows)
+    assert len({(r.sequence_id, r.offset) for r in got}) == 500
+    blocks = {}
+    for r in got:
+        blocks[r.sequence_id >> 32] = blocks.get(r.sequence_id >> 32, 0) + 1
+    assert len(blocks) == 10 and max(blocks.values()) < 100
+    spread = pack_documents(df.repartition(7, "doc_id"), PATH, block_pieces=50).collect()
+    assert sorted(map(str, spread)) == sorted(map(str, got))
+
+
 def test_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], SCHEMA), PATH).collect() == []

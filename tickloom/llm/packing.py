@@ -25,6 +25,8 @@ from tickloom.sources.writers import stored
 CAPACITY, END_ID = 1024, 2
 #: Pieces that one task packs.
 BLOCK_PIECES = 50_000
+#: Items of a bin tried in exchanges of two.
+BREADTH = 8
 _PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -124,9 +126,14 @@ def _best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 class _Search:
-    """Underfull bins by gap, and their items by length plus gap: the longest item to take its place."""
+    """Underfull bins by gap, and their items by length plus gap: the longest item to take its place.
 
-    def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int):
+    ``breadth`` bounds the items of a bin that exchanges of two for one and one for two try, and half
+    of it the bins of a gap; None tries all.
+    """
+
+    def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int, breadth: int | None = BREADTH):
+        self.breadth = breadth
         self.lengths, self.bins, self.capacity = lengths, bins, capacity
         self.gap = [capacity - sum(lengths[i] for i in b) for b in bins]
         self.by_gap: dict[int, set[int]] = defaultdict(set)
@@ -187,7 +194,7 @@ class _Search:
             if found:
                 self._trade(v, [x], found[0], [found[1]])
                 return True
-        few = mine[:8]
+        few = mine[: self.breadth]
         for p, x in enumerate(few):  # two for one
             for y in few[p + 1 :]:
                 total = self.lengths[x] + self.lengths[y]
@@ -198,10 +205,10 @@ class _Search:
         for x in mine:  # one for two
             n = self.lengths[x]
             for gap in range(min(n - 1, self.capacity), 0, -1):
-                for b in list(self.by_gap.get(gap, ()))[:4]:
+                for b in list(self.by_gap.get(gap, ()))[: self.breadth and max(1, self.breadth // 2)]:
                     if self.capacity - gap + 1 <= fill:
                         continue
-                    theirs = sorted(self.bins[b], key=lambda i: self.lengths[i])[:8]
+                    theirs = sorted(self.bins[b], key=lambda i: self.lengths[i])[: self.breadth]
                     for p, y in enumerate(theirs):
                         for z in theirs[p + 1 :]:
                             if n - gap <= self.lengths[y] + self.lengths[z] < n:
@@ -230,17 +237,17 @@ class _Search:
         return [b for b in self.bins if b]
 
 
-def pack(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
+def pack(lengths: list[int], capacity: int = CAPACITY, breadth: int | None = BREADTH) -> list[list[int]]:
     """Item numbers of each bin, by best fit and local search; every length is 1 to ``capacity``."""
-    return _Search(lengths, _best_fit(lengths, capacity), capacity).run()
+    return _Search(lengths, _best_fit(lengths, capacity), capacity, breadth).run()
 
 
-def _packed(capacity: int):
+def _packed(capacity: int, breadth: int | None):
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "k1", "k2", "piece"], ascending=[False, True, True, True], ignore_index=True)
         lengths = pdf["length"].tolist()
         full = sum(1 for n in lengths if n == capacity)
-        bins = [[i] for i in range(full)] + [[full + i for i in b] for b in pack(lengths[full:], capacity)]
+        bins = [[i] for i in range(full)] + [[full + i for i in b] for b in pack(lengths[full:], capacity, breadth)]
         order = np.array([i for b in bins for i in b], np.int64)
         number = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
         size = pdf["length"].to_numpy()[order]
@@ -254,17 +261,35 @@ def _packed(capacity: int):
     return block
 
 
-def pack_documents(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, block_pieces: int = BLOCK_PIECES) -> DataFrame:
+def _dealt(parts: DataFrame, blocks: int, run: int) -> DataFrame:
+    """Pieces with ``block``: by the hashes of id and text, copies of a piece in turn by all blocks.
+
+    Equal pieces are counted and told apart by number again, in runs that are dealt out, so a text
+    that a third of all rows repeat is in no task as a whole.
+    """
+    alike = parts.groupBy(*parts.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    runs = alike.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {run}"))))
+    runs = runs.repartition("k1", "piece", "_run")
+    last = F.least("_copies", (F.col("_run") + 1) * run) - 1
+    each = runs.withColumn("_no", F.explode(F.sequence(F.col("_run") * run, last)))
+    return each.select(*parts.columns, F.pmod(F.pmod(F.xxhash64("k1", "piece"), F.lit(blocks)) + F.col("_no"), F.lit(blocks)).alias("block"))
+
+
+def pack_documents(
+    documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, block_pieces: int = BLOCK_PIECES, breadth: int | None = BREADTH
+) -> DataFrame:
     """Each piece of ``pieces`` with its ``sequence_id`` and ``offset`` there; sequences are gapless.
 
     Blocks are dealt by the hashes of id and text, so the result does not depend on how the input
-    is spread; rows equal in both share a block.  No sequence crosses blocks.
+    is spread; rows equal in both go to the blocks in turn.  No sequence crosses blocks.
+    ``breadth=None`` tries all exchanges of two, at a cost that grows with the square of the underfull
+    sequences of a block.
     """
     parts = stored(pieces(documents, tokenizer, capacity, end_id), "packing-pieces")
     blocks = max(1, -(-parts.count() // block_pieces))
-    parts = parts.withColumn("block", F.pmod(F.xxhash64("k1", "piece"), F.lit(blocks)))
+    parts = _dealt(parts, blocks, block_pieces)
     kind = parts.schema["doc_id"].dataType.simpleString()
-    return parts.groupBy("block").applyInPandas(_packed(capacity), f"doc_id {kind}, k1 long, k2 long, {_PIECE}, offset long, sequence_id long")
+    return parts.groupBy("block").applyInPandas(_packed(capacity, breadth), f"doc_id {kind}, k1 long, k2 long, {_PIECE}, offset long, sequence_id long")
 
 
 def sequences(documents: DataFrame, tokenizer: str, **more) -> DataFrame:
