@@ -172,6 +172,22 @@ def test_query_agrees_with_sql(spark, name):
     assert ok, note
 
 
+def test_scrambled_scan_order_has_no_ties(spark, tmp_path):
+    """Rows whose positions lie more than 1,000,003 apart still have positions of their own."""
+    source = f"SELECT * REPLACE (event_id + r * 250000 AS event_id) FROM '{DATA}/events.parquet', range(4) t(r)"
+    duckdb.sql(f"COPY ({source}) TO '{tmp_path}/events.parquet'")
+    for table in check.TABLES[1:]:
+        os.symlink(f"{DATA}/{table}.parquet", tmp_path / f"{table}.parquet")
+    ok, note = check.compare(spark, str(tmp_path), "ordering_report_scrambled")
+    assert ok, note
+    sql = entry_points.oracle_sql()["ordering_report_scrambled"]
+    inner = re.search(r"FROM \((SELECT source_row_number // .*? FROM dirty)\)", sql, re.S).group(1)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    ties = con.execute(sql[: sql.rindex("SELECT coalesce(sum((ts < pts")] + f"SELECT count(*) - count(DISTINCT pos) FROM ({inner})")
+    assert ties.fetchone()[0] == 0
+
+
 def test_bench_and_check_import_without_a_session():
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = "import bench, check, __spark_entry__ as e; assert len(e.queries()) > 60"

@@ -692,7 +692,8 @@ FROM (SELECT *, {_OPEN} AS open_ns, {_CLOSE} AS close_ns
 WHERE session_id IN (first_id, last_id)
   AND (min_ts_ns > open_ns + 300000000000 OR max_ts_ns < close_ns - 300000000000)""",
     "ordering_report_scrambled": _ordering(
-        "SELECT source_row_number * 7919 % 1000003 AS pos, ts_event AS ts, sequence AS seq FROM dirty"
+        "SELECT source_row_number // 1000003 * 1000003 + source_row_number * 7919 % 1000003 AS pos, "
+        "ts_event AS ts, sequence AS seq FROM dirty"
     ),
     "ordering_report_scan": _ordering(_ROUGH),
     "session_bounds": f"""

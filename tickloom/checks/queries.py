@@ -281,11 +281,15 @@ def partial_sessions(spark, d):
 
 @query
 def ordering_report_scrambled(spark, d):
-    """Ordering audit with the rows put in another scan order."""
-    scrambled = _flags(spark, d).withColumn(
-        "source_row_number", F.col("source_row_number") * 7919 % 1000003
+    """Ordering audit with the rows put in another scan order, by blocks of 1,000,003 positions.
+
+    The block's length is a prime, so no two rows share a position, however many there are.
+    """
+    row = F.col("source_row_number")
+    block = F.expr("source_row_number div 1000003")
+    return ordering_report(
+        _flags(spark, d).withColumn("source_row_number", block * 1000003 + row * 7919 % 1000003)
     )
-    return ordering_report(scrambled)
 
 
 @query
