@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from helpers import ELEVEN, MBO, mbo
+from helpers import ELEVEN, MBO, mbo, mbo_row
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
@@ -157,3 +157,25 @@ def test_each_file_is_studied_by_itself(spark):
         got |= set(rows(alone["outcomes"].select(*keep)))
     assert got != set(rows(bar_study(trades, STUDY)["outcomes"].select(*keep)))
     assert "bar_study_by_file" in QUERIES
+
+
+def test_rows_of_a_batch_and_of_raw_files_are_made_once(spark, tmp_path):
+    """Neither a range sample nor the passes over a batch make the texts of times again."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        made.add(1)
+        return text
+
+    raw = mbo(spark, [mbo_row("T", "B", sequence=i, ts=None if i == 3 else "2026-04-06T00:00:00.001184655Z") for i in range(40)])
+    text = F.udf(counted, "string")("ts_event")
+    raw_files(raw.select(*S.MBO_SCANNED, "source_row_number").withColumn("ts_event", text), f"{tmp_path}/raw", 4)
+    assert made.value == 40
+    files = spark.read.parquet(f"{tmp_path}/raw")
+    batch = files.select(*S.MBO_SCANNED, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    batch = batch.withColumn("ts_event", F.udf(counted, "string")("ts_event"))
+    made.value = 0
+    streaming.process_batch(batch, 0, f"{tmp_path}/tape", f"{tmp_path}/reports", TapeConfig(invalid_row_policy="quarantine"))
+    assert made.value == 40
+    assert A.volume_report(streaming.stored_cells(spark, f"{tmp_path}/reports")).first()["valid_t_rows"] == 39
+    assert [r.sequence for r in readers.read_mbo(spark, f"{tmp_path}/raw").orderBy("source_row_number").collect()] == list(range(40))

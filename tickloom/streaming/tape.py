@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import schema as S
 from tickloom.config import CODECS, TapeConfig
+from tickloom.functions.clock import epoch_ns
 from tickloom.operators import audit as A
 from tickloom.operators.ordering import ordering_report
 from tickloom.operators.quality import canonical_trades, enforce_policy, quality_flags, quarantine_rows
@@ -59,6 +60,8 @@ def process_batch(batch: DataFrame, batch_id: int, target: str, reports: str, cf
         taken = spark.read.schema(ledger).parquet(earlier).filter(F.col("batch") < batch_id)
         first = taken.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
     rows, n = _numbered(batch, first)
+    # Three passes read the batch; its texts of times are parsed in the first one only.
+    rows = rows.withColumns({c: epoch_ns(rows, c) for c in ("ts_event", "ts_recv")}).persist()
     flags = quality_flags(rows, cfg)
     cells = A.audit_cells(flags, cfg).persist()
     try:
@@ -73,6 +76,7 @@ def process_batch(batch: DataFrame, batch_id: int, target: str, reports: str, cf
         _write_batch(done, earlier, batch_id, cfg)
     finally:
         cells.unpersist()
+        rows.unpersist()
 
 
 def stream_tape(
