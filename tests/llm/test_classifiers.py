@@ -158,3 +158,29 @@ def test_very_long_texts_are_scored_whole(spark):
     got = {r.doc_id: r.score for r in score_toxicity(spark.createDataFrame(docs + long, DOCS), lab).collect()}
     assert got[9_001] > got[9_000]
     assert all(0 <= r.score <= 1 for r in score_quality(spark.createDataFrame(docs + long, DOCS), lab).where("doc_id >= 9000").collect())
+
+
+def test_all_labelled_texts_are_learned_from_in_parts(spark, monkeypatch):
+    """8,600 labelled texts, dealt into parts; a word that few of them hold, all of one class, is learned."""
+    rng = random.Random(8)
+    docs = [(i, " ".join(rng.choice("abcdefghijkl") * 3 for _ in range(6)) + (" vilka" if i % 4 == 0 else ""), "en", "s", "x", 1) for i in range(11_000)]
+    labels = [(i, 1, int(i % 4 == 0), "") for i in range(11_000)]
+    df, lab = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    monkeypatch.setattr(toxicity, "PART_ROWS", 2_000)
+    seen, fresh = [], toxicity.fresh
+    monkeypatch.setattr(toxicity, "fresh", lambda n, pos: seen.append(n) or fresh(n, pos))
+    got = score_toxicity(df, lab).where("held_out").collect()
+    known = [i for i in range(11_000) if zlib.crc32(str(i).encode()) % 5]
+    assert 0.78 * len(known) < seen[0] < 0.82 * len(known)
+    assert np.mean([(r.score >= 0.5) == (r.doc_id % 4 == 0) for r in got]) > 0.99
+
+
+def test_one_part_is_trained_as_without_spark(spark):
+    docs, labels = corpus(60)
+    y = np.array([float(x[2]) for x in labels])
+    df = spark.createDataFrame([(d[0], int(v), d[1]) for d, v in zip(docs, y, strict=True)], "doc_id long, label int, text string")
+    order = [r.doc_id for r in df.orderBy(F.xxhash64("doc_id")).collect()]
+    texts = [word_rows(*utf8(pa.array([docs[i][1]])))[0] for i in order]
+    want, got = toxicity.train(texts, y[order]), toxicity._trained(df)
+    for a, b in zip([*want.weights(), want.bias], [*got.weights(), got.bias], strict=True):
+        assert a == pytest.approx(b, abs=1e-4)
