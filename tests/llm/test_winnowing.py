@@ -1,8 +1,13 @@
 import random
 import re
+import tracemalloc
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from tickloom.llm import winnowing
 from tickloom.llm.winnowing import contamination
 
 DOCS = "doc_id long, text string, item_id string, k1 string"
@@ -60,3 +65,27 @@ def test_empty_tables(spark):
     assert run(spark, [], items) == []
     assert run(spark, docs, []) == [("1", 3, 0, [])]
     assert run(spark, docs, items) == [("1", 3, 2, ["1"])]
+
+
+def test_the_table_is_broadcast_as_bits(spark, monkeypatch):
+    sizes, kind = [], type(spark.sparkContext)
+    of = kind.broadcast
+    monkeypatch.setattr(kind, "broadcast", lambda self, x: sizes.append(x.nbytes) or of(self, x))
+    assert run(spark, [(1, "one two three", "a", "b")], [(1, "two three", "c")]) == [("1", 3, 2, ["1"])]
+    assert sizes == [1 << 22]
+
+
+def test_a_scan_takes_little_memory():
+    """A batch of 8 MB: what is made of it at once does not grow with it."""
+    rng = random.Random(3)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(900)]
+    texts = [" ".join(rng.choice(vocab) for _ in range(600)) for _ in range(2_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2_000)), "text": texts, "k1": list(range(2_000)), "k2": list(range(2_000))})
+    table = SimpleNamespace(value=np.zeros(1 << 19, np.int64))
+    scan = winnowing._candidates(10, 5, 25, [], table)
+    assert sum(len(x) for x in scan(iter([batch.slice(0, 20)]))) == 20  # powers of hashes are kept
+    tracemalloc.start()
+    assert sum(len(x) for x in scan(iter([batch]))) == 2_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20

@@ -16,7 +16,6 @@ from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -364,10 +363,11 @@ def redact(text: Column, field: Field | None = None) -> Column:
     """``text`` without its personal data; null stays null."""
     weights = (field or train()).weights
 
-    @F.pandas_udf("string")
-    def of(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def of(texts: pa.Array) -> pa.Array:
         own = Field(weights)
-        return texts.map(lambda t: None if t is None else redacted(t, all_spans(t, own)))
+        # One text at a time: a batch of them as Python strings takes several times their bytes.
+        return pa.array((redacted(t, all_spans(t, own)) if (t := x.as_py()) is not None else None for x in texts), pa.string())
 
     return of(text)
 

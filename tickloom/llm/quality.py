@@ -11,7 +11,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +25,7 @@ TRAIN_ROWS = 20_000
 TREES, DEPTH, BINS, RATE, RIDGE, LEAST_ROWS = 80, 4, 64, 0.15, 1.0, 5
 #: A text is good from this score on.
 GOOD_FROM = 0.3
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 
 FEATURES = (
     "log_bytes", "log_words", "word_bytes", "letters", "digits", "punctuation", "upper", "spaces", "symbols", "beyond_ascii", "log_lines", "line_words",
@@ -208,8 +207,8 @@ def score_quality(documents: DataFrame, labels: DataFrame, train_rows: int = TRA
 def quality_of(text: Column, trees: Trees) -> Column:
     """Score of a text column by grown trees."""
 
-    @F.pandas_udf("double")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(trees.score(text_statistics(pa.array(texts.fillna(""), pa.string()))))
+    @F.arrow_udf("double")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array(trees.score(text_statistics(texts)))
 
-    return of(text)
+    return of(F.coalesce(text, F.lit("")))

@@ -25,7 +25,7 @@ from tickloom.sources.writers import stored
 WORDS, GRAM = 10, 5
 #: Bits of the benchmark's table: 4 MB in each task, at most 2**19 rows of 64 bits on the driver.
 TABLE_BITS = 25
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 
 #: Word characters after ASCII lower-casing: digits, letters, everything beyond ASCII.
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -71,6 +71,11 @@ def _table_cells(fingerprint: np.ndarray, bits: int) -> tuple[np.ndarray, np.nda
     return (fingerprint & mask).astype(np.int64), (fingerprint >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _filled(table: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which places of a table of 64-bit words are set."""
+    return (table[place >> 6] >> (place & 63) & 1).astype(bool)
+
+
 def _items(words: int, gram: int, bits: int):
     """Distinct windows of each item: length, text, and the two places in the table."""
 
@@ -100,7 +105,6 @@ def _candidates(words: int, gram: int, bits: int, shorter: list[int], table):
     cell = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("window", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled = table.value
         for batch in batches:
             data, at = utf8(batch.column("text"))
             for i, j in runs(at, _SLICE):
@@ -109,7 +113,7 @@ def _candidates(words: int, gram: int, bits: int, shorter: list[int], table):
                 for length, first, kept, (starts, ends, before, lower) in _windows(data[at[i] : at[j]], at[i : j + 1] - at[i], words, gram, shorter):
                     n_words = np.diff(before)
                     a, b = _table_cells(kept, bits)
-                    hit = filled[a] & filled[b]
+                    hit = _filled(table.value, a) & _filled(table.value, b)
                     first = first[hit]
                     owner = np.searchsorted(before, first, "right") - 1
                     if len(first):
@@ -156,7 +160,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, words: int = WORDS
     packed = np.zeros(max(1, 1 << (table_bits - 6)), np.int64)
     for chunk in filled.toArrow().to_batches():
         packed[chunk.column(0).to_numpy()] = chunk.column(1).to_numpy()
-    table = spark.sparkContext.broadcast(np.unpackbits(packed.view(np.uint8), bitorder="little").view(bool))
+    table = spark.sparkContext.broadcast(packed)
 
     docs = identified(documents)
     id_kind = docs.schema["doc_id"].dataType.simpleString()
