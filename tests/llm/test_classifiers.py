@@ -184,3 +184,15 @@ def test_one_part_is_trained_as_without_spark(spark):
     want, got = toxicity.train(texts, y[order]), toxicity._trained(df)
     for a, b in zip([*want.weights(), want.bias], [*got.weights(), got.bias], strict=True):
         assert a == pytest.approx(b, abs=1e-4)
+
+
+def test_texts_are_dealt_once_for_all_turns(spark, monkeypatch):
+    tables, stored = [], toxicity.stored
+    monkeypatch.setattr(toxicity, "PART_ROWS", 20)
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: tables.append((name, stored(df, name))) or tables[-1][1])
+    docs, labels = corpus(60)
+    rows = [(d[0], x[2], d[1]) for d, x in zip(docs, labels, strict=True)]
+    toxicity._trained(spark.createDataFrame(rows, "doc_id long, label int, text string"))
+    assert [name for name, _ in tables] == ["toxicity-parts"]
+    parts = [pa.ipc.open_stream(r.packed).read_all().to_pylist() for r in tables[0][1].collect()]
+    assert len(parts) == 3 and sorted((x["label"], x["text"]) for part in parts for x in part) == sorted(x[1:] for x in rows)

@@ -284,18 +284,28 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _MOVES = [f"{x}{k}" for x in "wp" for k in range(SIZE)]
 
 
+def _packed(part: pa.Table) -> pa.Table:
+    """A part's labels and texts in order, as one compressed Arrow stream."""
+    part = part.sort_by([("order", "ascending"), ("doc_id", "ascending")]).select(["label", "text"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(part)
+    return pa.table([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["packed"])
+
+
 def _moves(shared, turn: int):
     """The rows of weights, and of their past, that one pass over a part's texts moves, and by how much."""
 
-    def rows(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("order", "ascending"), ("doc_id", "ascending")]).combine_chunks()
-        net, past = pickle.loads(shared.value)
-        before = [flat(net.weights(), net.bias), flat(past.weights, past.bias)]
-        texts = [t for chunk in part["text"].chunks for t in _texts(chunk)]
-        one_pass(net, past, texts, part["label"].to_numpy().astype(float), np.random.default_rng([3, turn]))
-        moved = np.hstack([flat(net.weights(), net.bias) - before[0], flat(past.weights, past.bias) - before[1]])
-        hit = np.flatnonzero(moved.any(axis=1))
-        return pa.table([pa.array(hit), *(pa.array(x) for x in moved[hit].T.astype(np.float32))], names=["row", *_MOVES])
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for packed in (x for batch in batches for x in batch.column("packed")):
+            part = pa.ipc.open_stream(packed.as_buffer()).read_all()
+            net, past = pickle.loads(shared.value)
+            before = [flat(net.weights(), net.bias), flat(past.weights, past.bias)]
+            texts = [t for chunk in part["text"].chunks for t in _texts(chunk)]
+            one_pass(net, past, texts, part["label"].to_numpy().astype(float), np.random.default_rng([3, turn]))
+            moved = np.hstack([flat(net.weights(), net.bias) - before[0], flat(past.weights, past.bias) - before[1]])
+            hit = np.flatnonzero(moved.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(hit), *(pa.array(x) for x in moved[hit].T.astype(np.float32))], names=["row", *_MOVES])
 
     return rows
 
@@ -314,11 +324,13 @@ def _trained(rows: DataFrame) -> Network:
     parts = max(-(-n // PART_ROWS), -(-size // PART_BYTES))
     order = F.xxhash64("doc_id")
     dealt = rows.select("doc_id", "label", "text", order.alias("order"), F.pmod(order, F.lit(parts)).cast("int").alias("part"))
+    # The texts are shuffled once; each turn reads the parts, a row each.
+    packed = stored(dealt.groupBy("part").applyInArrow(_packed, "packed binary"), "toxicity-parts")
     mean = [(F.sum(x) / F.count(F.lit(1))).alias(x) for x in _MOVES]
     for turn in range(EPOCHS):
         # Pickled here, as each part changes a copy of its own.
         shared = rows.sparkSession.sparkContext.broadcast(pickle.dumps((net, past)))
-        moves = dealt.groupBy("part").applyInArrow(_moves(shared, turn), "row long, " + ", ".join(f"{x} float" for x in _MOVES))
+        moves = packed.mapInArrow(_moves(shared, turn), "row long, " + ", ".join(f"{x} float" for x in _MOVES))
         moves = moves.groupBy("row").agg(*mean).toArrow()
         at, by = moves["row"].to_numpy(), np.column_stack([moves[x].to_numpy() for x in _MOVES])
         for owner, weights, own in ((net, net.weights(), by[:, :SIZE]), (past, past.weights, by[:, SIZE:])):
