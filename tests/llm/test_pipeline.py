@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark.sql import functions as F
 from test_near_copies import near, shingles
 from test_simhash import reach
 from test_winnowing import brute
@@ -51,3 +52,20 @@ def test_stages_take_nulls_repeats_and_empty_tables(spark):
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert all(r.text is None or "555" not in r.text for r in docs.collect())
         assert corpus_pipeline.STAGES[-1][1](spark, docs, DIR).count() == docs.count()
+
+
+def test_stages_bound_the_bytes_that_go_to_python_at_once(spark):
+    docs = spark.createDataFrame([(1, "some text", "en", "s", 9)], SCHEMA)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(0, 24, 1, 1).select(F.repeat(F.lit("a"), 1 << 20).alias("text"))
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(setting)
+        stage(spark, docs, DIR)
+        sizes = [r.n for r in texts.mapInArrow(_sizes, "n long").collect()]
+        assert len(sizes) > 1 and max(sizes) <= 2 * corpus_pipeline.BATCH_BYTES
+    spark.conf.unset(setting)
+
+
+def _sizes(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])

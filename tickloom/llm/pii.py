@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.rows import give_back
+
 KINDS = ("email", "ip", "card", "phone")
 MOST_TOKENS = 24
 SCORED_TOKENS = 1_024
@@ -367,7 +369,9 @@ def redact(text: Column, field: Field | None = None) -> Column:
     def of(texts: pa.Array) -> pa.Array:
         own = Field(weights)
         # One text at a time: a batch of them as Python strings takes several times their bytes.
-        return pa.array((redacted(t, all_spans(t, own)) if (t := x.as_py()) is not None else None for x in texts), pa.string())
+        out = pa.array((redacted(t, all_spans(t, own)) if (t := x.as_py()) is not None else None for x in texts), pa.string())
+        give_back()
+        return out
 
     return of(text)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.hashing import Rolling, mixed
 from tickloom.llm.labelled import held_out, training_ids
-from tickloom.llm.rows import runs, utf8
+from tickloom.llm.rows import give_back, runs, utf8
 from tickloom.sources.writers import stored
 
 #: Labelled rows that the trees are grown on, at most.
@@ -209,6 +209,8 @@ def quality_of(text: Column, trees: Trees) -> Column:
 
     @F.arrow_udf("double")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array(trees.score(text_statistics(texts)))
+        scores = pa.array(trees.score(text_statistics(texts)))
+        give_back()
+        return scores
 
     return of(F.coalesce(text, F.lit("")))
