@@ -55,17 +55,16 @@ def test_stages_take_nulls_repeats_and_empty_tables(spark):
 
 
 def test_stages_bound_the_bytes_that_go_to_python_at_once(spark):
+    def own(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
     docs = spark.createDataFrame([(1, "some text", "en", "s", 9)], SCHEMA)
     setting = "spark.sql.execution.arrow.maxBytesPerBatch"
     texts = spark.range(0, 24, 1, 1).select(F.repeat(F.lit("a"), 1 << 20).alias("text"))
     for _, stage in corpus_pipeline.STAGES:
         spark.conf.unset(setting)
         stage(spark, docs, DIR)
-        sizes = [r.n for r in texts.mapInArrow(_sizes, "n long").collect()]
+        sizes = [r.n for r in texts.mapInArrow(own, "n long").collect()]
         assert len(sizes) > 1 and max(sizes) <= 2 * corpus_pipeline.BATCH_BYTES
     spark.conf.unset(setting)
-
-
-def _sizes(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
